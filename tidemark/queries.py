@@ -1,0 +1,4 @@
+"""Every query of the library and the same in DuckDB's SQL."""
+
+QUERIES = {}
+ORACLE = {}
