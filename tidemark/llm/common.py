@@ -73,3 +73,11 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
     done = hot.where("__hot").select(*rows.columns, *[F.col(f"__{c}").alias(c) for c in value])
     rest = hot.where("__hot is null").select(*rows.columns).join(light, on, how).select(*rows.columns, *value)
     return done.unionByName(rest)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets at most ``rows`` rows go to a Python worker at a time, unless the session says fewer: texts can be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = int(spark.conf.get(key))
+    if held <= 0 or held > rows:
+        spark.conf.set(key, str(rows))

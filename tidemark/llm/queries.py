@@ -5,12 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chatformat, mixing, urlfilter
+from tidemark.llm import chatformat, mixing, packing, tokencount, urlfilter
 from tidemark.llm.common import read
 
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = mixing.sizes_of(docs)
@@ -18,6 +30,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return took.select("doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("size") * F.col("__copies")).alias("taken"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencount.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
     return urlfilter.judge(read(spark, sf_dir, "pages"), rules)
@@ -39,7 +56,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_mixing": op5_mixing, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
+QUERIES = {"op1_packing": op1_packing, "op5_mixing": op5_mixing, "op8_token_counts": op8_token_counts, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
 
 _ESC = r"regexp_replace(replace(coalesce(text, ''), '\', '\\'), '([<\[])(/?s>|</?SYS>>|/?INST\]|/?ROLE[ \]])', '\1\\.\2', 'g')"
 #: The longest rule of those that fit, as a union over the rules.
