@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chatformat, mixing, packing, tokencount, urlfilter
+from tidemark.llm import chatformat, exactdedup, mixing, packing, tokencount, topk, urlfilter
 from tidemark.llm.common import read
 
 
@@ -23,6 +23,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return topk.search(vectors, vectors.where("id % 100 = 0"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = mixing.sizes_of(docs)
@@ -30,6 +35,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return took.select("doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("size") * F.col("__copies")).alias("taken"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.dedup(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokencount.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
@@ -56,13 +65,24 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op5_mixing": op5_mixing, "op8_token_counts": op8_token_counts, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
+QUERIES = {"op1_packing": op1_packing, "op2_topk_search": op2_topk_search, "op5_mixing": op5_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
 
 _ESC = r"regexp_replace(replace(coalesce(text, ''), '\', '\\'), '([<\[])(/?s>|</?SYS>>|/?INST\]|/?ROLE[ \]])', '\1\\.\2', 'g')"
 #: The longest rule of those that fit, as a union over the rules.
 _VERDICTS = " UNION ALL ".join(f"SELECT '{v}' AS v, '{h}' AS h, '{p}' AS p" for v, h, p in RULES)
 
 ORACLE: dict[str, str] = {
+    "op2_topk_search": """
+WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op7_exact_dedup": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare FROM documents),
+r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY bare ORDER BY length(t) DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY bare) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS text_sha256 FROM r""",
     "op9_url_filters": f"""
 WITH r AS ({_VERDICTS}),
 u AS (SELECT page_id, url,
