@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chatformat, exactdedup, mixing, packing, tokencount, topk, urlfilter
+from tidemark.llm import chatformat, exactdedup, lblm, mixing, packing, quality, tokencount, topk, urlfilter
 from tidemark.llm.common import read
 
 
@@ -28,6 +28,17 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where("id % 100 = 0"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, quality.grades_of(read(spark, sf_dir, "labels")), 2)
+    rated = quality.rate(docs, model, 2, ("doc_id",))
+    return rated.select("doc_id", "expected_grade", F.col("tail")[0].alias("p_well_written"), F.col("tail")[1].alias("p_clean"), (F.col("tail")[1] >= quality.KEEP_TAIL).alias("kept"))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lblm.score(read(spark, sf_dir, "documents")).drop("row")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = mixing.sizes_of(docs)
@@ -65,7 +76,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_topk_search": op2_topk_search, "op5_mixing": op5_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
+QUERIES = {"op1_packing": op1_packing, "op2_topk_search": op2_topk_search, "op3_quality_classifier": op3_quality_classifier, "op4_lm_scoring": op4_lm_scoring, "op5_mixing": op5_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
 
 _ESC = r"regexp_replace(replace(coalesce(text, ''), '\', '\\'), '([<\[])(/?s>|</?SYS>>|/?INST\]|/?ROLE[ \]])', '\1\\.\2', 'g')"
 #: The longest rule of those that fit, as a union over the rules.
