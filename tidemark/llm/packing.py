@@ -21,6 +21,7 @@ import re
 import struct
 from collections import deque
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ class WordTokens:
 
     _words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-z0-9ß-öø-ÿ]+")
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.library, self.most, self.known = Tokenizer.from_file(path), most, {}
@@ -58,7 +59,7 @@ class WordTokens:
         words = [w for w in words if w not in self.known]
         for at in range(0, len(words), 20_000):
             part = words[at : at + 20_000]
-            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.ends_word[ids]) + 1
             if len(stops) != len(part):  # a word that doesn't stay one word among others
                 self.known.update((w, np.array(self.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in part)
@@ -77,16 +78,20 @@ class WordTokens:
             split.append(words)
             plain.append(fast)
             new.update(words)
-        new.difference_update(self.known.keys())
+        new = new.difference(self.known)
         if new:
             before = len(self.known)
             self._learn(new)
             if len(self.known) < before + len(new):  # forgotten meanwhile
-                self._learn({w for words in split for w in words} - self.known.keys())
+                self._learn({w for words in split for w in words}.difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, words)) if fast else np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text, words, fast in zip(texts, split, plain, strict=True)]
 
 
+#: One per tokenizer and process: what a worker has learnt serves all tasks it runs.
+word_tokens = lru_cache(maxsize=2)(WordTokens)
+
+
 def cut(n: int, documents: np.ndarray, sentences: np.ndarray, length: int = 2048, sequence_cost: float = 8, sentence_cost: float = 1, word_cost: float = 8, stride: int = 32) -> np.ndarray:
     """The best window ends in a stream of n ids: ``documents`` and ``sentences`` are the positions after which those end (the last document's is n)."""
     free = np.zeros(n + 1, bool)
@@ -106,9 +111,11 @@ def cut(n: int, documents: np.ndarray, sentences: np.ndarray, length: int = 2048
     later, earlier = [], []
     power = length
     while power:
-        i = np.searchsorted(at, at - power)
-        hit = np.flatnonzero((at >= power) & (at[np.minimum(i, len(at) - 1)] == at - power))
-        later.append(hit)
+        # short windows only serve to end a run
+        j = np.arange(np.searchsorted(at, power if power >= 64 else max(power, n - length)), len(at))
+        i = np.searchsorted(at, at[j] - power)
+        hit = np.flatnonzero(at[i] == at[j] - power)
+        later.append(j[hit])
         earlier.append(i[hit])
         power //= 2
     later, earlier = np.concatenate(later), np.concatenate(earlier)
@@ -170,7 +177,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, r
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words = WordTokens(tokenizer)
+        words = word_tokens(tokenizer)
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         ids: list[int | None] = []
         rows: list[int] = []

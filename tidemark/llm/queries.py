@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chatformat, exactdedup, lblm, mixing, packing, quality, tokencount, topk, urlfilter
+from tidemark.llm import chatformat, exactdedup, lblm, mixing, packing, probminhash, quality, tokencount, topk, urlfilter
 from tidemark.llm.common import read
 
 
@@ -46,6 +46,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return took.select("doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("size") * F.col("__copies")).alias("taken"))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(read(spark, sf_dir, "documents")).drop("row")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.dedup(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -76,7 +80,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_topk_search": op2_topk_search, "op3_quality_classifier": op3_quality_classifier, "op4_lm_scoring": op4_lm_scoring, "op5_mixing": op5_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
+QUERIES = {"op1_packing": op1_packing, "op2_topk_search": op2_topk_search, "op3_quality_classifier": op3_quality_classifier, "op4_lm_scoring": op4_lm_scoring, "op5_mixing": op5_mixing, "op6_minhash_near_dedup": op6_minhash_near_dedup, "op7_exact_dedup": op7_exact_dedup, "op8_token_counts": op8_token_counts, "op9_url_filters": op9_url_filters, "op10_chat_formatting": op10_chat_formatting}
 
 _ESC = r"regexp_replace(replace(coalesce(text, ''), '\', '\\'), '([<\[])(/?s>|</?SYS>>|/?INST\]|/?ROLE[ \]])', '\1\\.\2', 'g')"
 #: The longest rule of those that fit, as a union over the rules.

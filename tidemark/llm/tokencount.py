@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -154,6 +155,10 @@ class Counter:
         return pieces, counts
 
 
+#: One per tokenizer and process: what a worker has learnt serves all tasks it runs.
+counter_of = lru_cache(maxsize=2)(Counter)
+
+
 class Prefixes:
     """Answers for one text from its table: ``at(i)`` tokens in text[:i]; ``cut(budget)`` the longest prefix within a budget."""
 
@@ -204,7 +209,7 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(tokenizer)
+        counter = counter_of(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
