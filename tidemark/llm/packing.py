@@ -88,8 +88,10 @@ class WordTokens:
         return [b"".join(map(get, words)) if fast else np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text, words, fast in zip(texts, split, plain, strict=True)]
 
 
-#: One per tokenizer and process: what a worker has learnt serves all tasks it runs.
-word_tokens = lru_cache(maxsize=2)(WordTokens)
+@lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """One per tokenizer and process: what a worker has learnt serves all tasks it runs."""
+    return WordTokens(path)
 
 
 def cut(n: int, documents: np.ndarray, sentences: np.ndarray, length: int = 2048, sequence_cost: float = 8, sentence_cost: float = 1, word_cost: float = 8, stride: int = 32) -> np.ndarray:
