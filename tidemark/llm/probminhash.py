@@ -15,8 +15,9 @@ Texts with equal shingles are one class from the start.  Within a band's bucket
    bounded size, all other members by signature; the most promising partner in each other component is verified;
 3. all pairs still in different components whose signatures don't exclude the threshold are verified.
 
-So every pair of a bucket is either in one component already, or verified, or excluded by its signatures (an agreement more
-than 4.5 standard deviations below the threshold).  No bucket, class or component is ever held by one task, and none capped.
+So every pair of a bucket is either in one component already, or verified, or excluded by its signatures: longer sketches,
+made for members of buckets only, whose agreement lies more than 4.5 standard deviations below the threshold.  A pair counts
+in the first band it shares.  No bucket, class or component is ever held by one task, and none capped.
 
 Defined cases: a null or blank text has no shingle, and all such texts are equal; a text of fewer than five words is one
 shingle; the row with the smallest id of a group (null last, then the first row) stays; rows that repeat an id are rows of
@@ -37,6 +38,8 @@ from tidemark.llm.common import bounded_batches, durable, forget, join_groups, j
 #: Registers: a prime, so that a step size gives each shingle an order of all registers.
 REGISTERS = 127
 BANDS, ROWS = 25, 5
+#: Registers of the longer sketches that exclude pairs within a bucket.
+LONG = 509
 SHINGLE = 5
 THRESHOLD = 0.8
 BLOCK = 512
@@ -164,13 +167,12 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands = bands * _POLY + mix(who[:, j * BANDS : (j + 1) * BANDS] + _STEP)
             bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP).view(np.int64)
             some = np.diff(starts) > 0
-            low = (who & np.uint64(2**32 - 1)).astype("<u4")
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), part.column(1), pa.array(key[0, :n].view(np.int64)), pa.array(key[1, :n].view(np.int64)),
-                    pa.array([b.tolist() if s else [] for b, s in zip(bands, some, strict=True)], pa.list_(pa.int64())), pa.array([x.tobytes() for x in low], pa.binary()),
+                    pa.array([b.tolist() if s else [] for b, s in zip(bands, some, strict=True)], pa.list_(pa.int64())),
                 ],
-                names=["row", "doc_id", "k1", "k2", "bands", "signature"],
+                names=["row", "doc_id", "k1", "k2", "bands"],
             )
 
 
@@ -183,7 +185,8 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 told.append(hashes[s:e].tobytes())
                 often.append(b"" if not e - s or times[s:e].max() == 1 else times[s:e].astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(told, pa.binary()), pa.array(often, pa.binary())], names=["node", "hashes", "times"])
+            long = (sketch(hashes, weights(times), starts, LONG) & np.uint64(2**16 - 1)).astype("<u2")
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(told, pa.binary()), pa.array(often, pa.binary()), pa.array([x.tobytes() for x in long], pa.binary())], names=["node", "hashes", "times", "signature"])
 
 
 def _times(raw: bytes, n: int) -> np.ndarray:
@@ -247,18 +250,18 @@ def components(links: DataFrame) -> DataFrame:
 
 def _block(least: int, best_only: bool):
     def run(table: pa.Table) -> pa.Table:
-        outside = table.column("outside").to_numpy(zero_copy_only=False)
+        outside, no = table.column("outside").to_numpy(zero_copy_only=False), table.column("no")[0].as_py()
         node, part = table.column("node").to_numpy(), table.column("part").to_numpy()
-        told = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u4").reshape(len(node), REGISTERS)
+        told = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(len(node), LONG)
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), BANDS)
         mine, them = np.flatnonzero(outside), np.flatnonzero(~outside)
+        their_bands = bands[them]
         a, b, p, agree = [], [], [], []
         for i in mine.tolist():
-            same = (told[them] == told[i]).sum(1)
-            hit = them[(same >= least) & (part[them] != part[i])]
-            if not len(hit):
-                continue
+            hit = them[(np.argmax(their_bands == bands[i], axis=1) == no) & (part[them] != part[i])]
             much = (told[hit] == told[i]).sum(1)
-            if best_only:
+            hit, much = hit[much >= least], much[much >= least]
+            if best_only and len(hit):
                 order = np.lexsort((node[hit], -much))
                 hit, much = hit[order], much[order]
                 _, pick = np.unique(part[hit], return_index=True)
@@ -273,8 +276,11 @@ def _block(least: int, best_only: bool):
 
 
 def _apart(members: DataFrame, labels: DataFrame, signatures: DataFrame, total: int, threshold: float, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of members (band, node) of one bucket that lie in different components and whose signatures allow the threshold."""
-    rows = members.join(labels, "node", "left").select("band", "node", F.coalesce("part", "node").alias("part"))
+    """Pairs (a, b) of members (band, no, node) of one bucket that lie in different components and whose signatures allow the threshold.
+
+    ``signatures``: node, signature, bands.
+    """
+    rows = members.join(labels, "node", "left").select("band", "no", "node", F.coalesce("part", "node").alias("part"))
     parts = rows.groupBy("band", "part").agg(F.count("*").alias("n"))
     split = parts.groupBy("band").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max(F.struct("n", "part")).alias("most")).where("parts > 1")
     split = split.select("band", "n", F.col("most.part").alias("main"), (F.col("n") - F.col("most.n")).alias("others"))
@@ -283,10 +289,10 @@ def _apart(members: DataFrame, labels: DataFrame, signatures: DataFrame, total:
     own = F.pmod(F.hash("node"), F.ceil(F.col("n") / BLOCK).cast("int"))
     other = F.pmod(F.hash("node"), F.ceil(F.col("others") / BLOCK).cast("int"))
     every = lambda c: F.explode(F.sequence(F.lit(0), F.ceil(F.col(c) / BLOCK).cast("int") - 1))
-    value = ["band", "node", "part", "signature"]
+    value = ["band", "no", "node", "part", "signature", "bands"]
     inside = rows.select(*value, F.lit(False).alias("outside"), own.alias("x"), every("others").alias("y"))
     outside = rows.where(F.col("part") != F.col("main")).select(*value, F.lit(True).alias("outside"), every("n").alias("x"), other.alias("y"))
-    least = int(threshold * REGISTERS - 4.5 * (threshold * (1 - threshold) * REGISTERS) ** 0.5)
+    least = int(threshold * LONG - 4.5 * (threshold * (1 - threshold) * LONG) ** 0.5)
     found = inside.unionByName(outside).groupBy("band", "x", "y").applyInArrow(_block(least, best_only), "a long, b long, part long, agree long")
     if best_only:
         found = found.groupBy("a", "part").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
@@ -297,26 +303,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): row, doc_id, group_id (the smallest doc_id of its group), group_size, kept."""
     bounded_batches(docs.sparkSession)
     given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = durable(given.mapInArrow(_sketched, "row long, doc_id long, k1 long, k2 long, bands array<long>, signature binary"), "sketches")
+    sketched = durable(given.mapInArrow(_sketched, "row long, doc_id long, k1 long, k2 long, bands array<long>"), "sketches")
     total = sketched.count()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     classes = sketched.groupBy("k1", "k2").agg(first, F.count("*").alias("copies"), F.first("bands").alias("bands"))
     classes = durable(classes.select("k1", "k2", F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), "copies", "bands"), "classes")
 
-    banded = classes.select("node", "copies", F.explode("bands").alias("band"))
+    banded = classes.select("node", "copies", F.posexplode("bands").alias("no", "band"))
     buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.max(F.struct(F.col("copies"), (-F.col("node")).alias("node"))).alias("lead")).where("n > 1")
     buckets = durable(buckets.select("band", "n", (-F.col("lead.node")).alias("leader")), "buckets")
-    members = durable(join_groups(banded.select("band", "node"), buckets, ["band"], "n", total), "members")
+    members = durable(join_groups(banded.select("band", "no", "node"), buckets, ["band"], "n", total), "members")
     wanted = members.select(F.col("node").alias("row")).distinct()
     met = join_small(given.select("row", "text"), wanted, ["row"], "left_semi", rows=1_000_000)
-    features = durable(met.select("row", "text").mapInArrow(_features, "node long, hashes binary, times binary"), "features")
-    signatures = sketched.select(F.col("row").alias("node"), "signature")
+    features = durable(met.select("row", "text").mapInArrow(_features, "node long, hashes binary, times binary, signature binary"), "features")
+    signatures = features.select("node", "signature").join(classes.select("node", "bands"), "node")
 
     pairs = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = durable(verify(pairs, features, threshold), "verified")
     labels = components(links)
     for best_only in (True, False):
-        pairs = durable(_apart(members.select("band", "node"), labels, signatures, total, threshold, best_only), "pairs")
+        pairs = durable(_apart(members.select("band", "no", "node"), labels, signatures, total, threshold, best_only), "pairs")
         new = durable(verify(pairs, features, threshold), "verified")
         if new.limit(1).count():
             links = links.unionByName(new)
