@@ -121,5 +121,5 @@ def with_metadata(df: DataFrame, data: Dataset, symbol: str, period: str, file:
 
 
 def row_counts(df: DataFrame) -> DataFrame:
-    """Rows and corrupt rows per file."""
-    return df.groupBy("_source_file").agg(F.count("*").alias("rows"), F.count(CORRUPT).alias("corrupt"))
+    """Rows, corrupt rows, and rows with a first column, per file.  (A scan of the corrupt column alone isn't allowed.)"""
+    return df.groupBy("_source_file").agg(F.count("*").alias("rows"), F.count(CORRUPT).alias("corrupt"), F.count(df.columns[0]).alias("filled"))
