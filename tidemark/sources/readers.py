@@ -41,8 +41,9 @@ def _corrupt(df: DataFrame, names: tuple[str, ...], raw: Column) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, data: Dataset, path: str) -> DataFrame:
+    # without pruning: whether a row is corrupt must not depend on the columns a query reads
     schema = _strings(data.columns).add(CORRUPT, StringType())
-    return spark.read.schema(schema).csv(path, header=data.header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return spark.read.schema(schema).option("columnPruning", False).csv(path, header=data.header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
