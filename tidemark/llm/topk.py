@@ -7,7 +7,7 @@ lists meet in a tree of fan-in ``FAN``.  Only queries (a stated set) are copied
 the grid; one row is enough until the queries exceed ``CELL_BYTES``.
 
 Scores are integers: components become floor(scale * x).  A product whose bound stays under 2**53 runs in double precision
-without rounding; beyond, in Python's integers, and a score beyond 64 bits is held at the end of that range.
+without rounding; beyond, in Python's integers, and a score beyond 64 bits counts as the end of that range.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part; only vectors of one length meet;
 ties go to the smaller id; a candidate with the query's id is the query itself; candidates that repeat an id all count; of
@@ -86,7 +86,11 @@ def _best(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, v_ids: np.ndarray, k:
 def _big_best(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, v_ids: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
     """As ``_best`` in Python's integers: lists of (-score, id)."""
     rows = [[int(x) for x in r] for r in v]
-    return [heapq.nsmallest(k, ((-sum(a * b for a, b in zip([int(x) for x in mine], r, strict=True)), int(i)) for r, i in zip(rows, v_ids, strict=True) if i != me)) for mine, me in zip(q, q_ids, strict=True)]
+    out = []
+    for mine, me in zip([[int(x) for x in r] for r in q], q_ids, strict=True):
+        scores = ((sum(a * b for a, b in zip(mine, r, strict=True)), int(i)) for r, i in zip(rows, v_ids, strict=True) if i != me)
+        out.append(heapq.nsmallest(k, ((-max(-(2**63), min(2**63 - 1, s)), i) for s, i in scores)))
+    return out
 
 
 def _cell(table: pa.Table, k: int, scale: float) -> pa.Table:
@@ -114,7 +118,7 @@ def _cell(table: pa.Table, k: int, scale: float) -> pa.Table:
             top, top_ids = np.take_along_axis(top, order, 1), np.take_along_axis(top_ids, order, 1)
         if big:
             held = [[(-int(s), int(i)) for s, i in zip(a, b, strict=True) if s > -np.inf] for a, b in zip(top, top_ids, strict=True)]
-            rows = [(int(me), i, max(-(2**63), min(2**63 - 1, -s))) for me, a, b in zip(q_ids, held, far, strict=True) for s, i in heapq.nsmallest(k, a + b)]
+            rows = [(int(me), i, -s) for me, a, b in zip(q_ids, held, far, strict=True) for s, i in heapq.nsmallest(k, a + b)]
             owner, ids, score = (np.array(x, np.int64) for x in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 3
         else:
             real = top > -np.inf
