@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: Characters that count as white space throughout: 0x20 and 0x09 to 0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -75,6 +79,17 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
     return done.unionByName(rest)
 
 
+_WORKER: dict[str, object] = {}
+
+
+def worker_cache(key: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task: one operator's memory at a time, another's is let go."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Lets at most ``rows`` rows go to a Python worker at a time, unless the session says fewer: texts can be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -21,14 +21,13 @@ import re
 import struct
 from collections import deque
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches
+from tidemark.llm.common import bounded_batches, worker_cache
 
 SCHEMA = "doc_id long, row long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -41,7 +40,7 @@ class WordTokens:
 
     _words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-z0-9ß-öø-ÿ]+")
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.library, self.most, self.known = Tokenizer.from_file(path), most, {}
@@ -88,12 +87,6 @@ class WordTokens:
         return [b"".join(map(get, words)) if fast else np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text, words, fast in zip(texts, split, plain, strict=True)]
 
 
-@lru_cache(maxsize=2)
-def word_tokens(path: str) -> WordTokens:
-    """One per tokenizer and process: what a worker has learnt serves all tasks it runs."""
-    return WordTokens(path)
-
-
 def cut(n: int, documents: np.ndarray, sentences: np.ndarray, length: int = 2048, sequence_cost: float = 8, sentence_cost: float = 1, word_cost: float = 8, stride: int = 32) -> np.ndarray:
     """The best window ends in a stream of n ids: ``documents`` and ``sentences`` are the positions after which those end (the last document's is n)."""
     free = np.zeros(n + 1, bool)
@@ -179,7 +172,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, r
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words = word_tokens(tokenizer)
+        words = worker_cache(f"words of {tokenizer}", lambda: WordTokens(tokenizer))
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         ids: list[int | None] = []
         rows: list[int] = []

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, durable, forget, join_groups, join_small
+from tidemark.llm.common import bounded_batches, durable, forget, join_groups, join_small, worker_cache
 
 #: Registers: a prime, so that a step size gives each shingle an order of all registers.
 REGISTERS = 127
@@ -64,18 +64,15 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) > 800_000:
             self.clear()
         out = self[word] = xxhash.xxh3_64_intdigest(word)
         return out
 
 
-#: One per process: what a worker has hashed serves all tasks it runs.
-_HASHES = WordHashes()
-
-
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text: hashes, occurrences, and where each text's begin (one more at the end)."""
+    known = worker_cache("word hashes", WordHashes)
     flat: list[bytes] = []
     sizes = []
     for text in texts:
@@ -84,7 +81,7 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
             words += [b""] * (SHINGLE - len(words))
         flat += words
         sizes.append(len(words))
-    hashed = np.fromiter(map(_HASHES.__getitem__, flat), np.uint64, len(flat))
+    hashed = np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat))
     rolled = np.zeros(max(0, len(flat) - SHINGLE + 1), np.uint64)
     for j in range(SHINGLE):
         rolled = rolled * _POLY + mix(hashed[j : j + len(rolled)] + _STEP)

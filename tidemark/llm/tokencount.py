@@ -14,14 +14,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches
+from tidemark.llm.common import bounded_batches, worker_cache
 
 _SPACE = " \t-\r"
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -155,10 +154,6 @@ class Counter:
         return pieces, counts
 
 
-#: One per tokenizer and process: what a worker has learnt serves all tasks it runs.
-counter_of = lru_cache(maxsize=2)(Counter)
-
-
 class Prefixes:
     """Answers for one text from its table: ``at(i)`` tokens in text[:i]; ``cut(budget)`` the longest prefix within a budget."""
 
@@ -209,7 +204,7 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = counter_of(tokenizer)
+        counter = worker_cache(f"counts of {tokenizer}", lambda: Counter(tokenizer))
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
