@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import retrieval, text
+from tidemark.operators import answering, retrieval, text
 from tidemark.queries import frames as fr
 
 
@@ -110,8 +110,23 @@ def question_splits(spark, d):
     return o.groupBy(at.alias("split"), retrieval.choose(["What was {}?", "How much was {}?", "State {}."], F.col("o_orderkey").cast("string")).alias("phrase")).agg(F.count("*").alias("questions"))
 
 
+def answer_scores(spark, d):
+    """A stand-in model that quotes its first excerpt's first words, against the words that open a relevant document."""
+    a, _ = _rankings(spark, d)
+    docs = fr.corpus(spark, d).select("doc_id", F.lit("doc").alias("context"), F.substring("text", 1, 300).alias("text"))
+    asked = answering.prompts(fr.asked(spark, d), a, docs, 3)
+
+    def quote(prompts: list[str]) -> list[str]:
+        return [p.split("[1] doc\n", 1)[1][:40] + " [1]" if "[1] doc\n" in p else "They do not say." for p in prompts]
+
+    opening = docs.select("doc_id", F.substring("text", 1, 40).alias("opening"))
+    truth = fr.asked(spark, d).select("query_id").join(_relevant(spark, d).join(opening, "doc_id").groupBy("query_id").agg(F.collect_set("doc_id").alias("relevant"), F.collect_set("opening").alias("answers")), "query_id", "left")
+    truth = truth.select("query_id", F.coalesce("relevant", F.array().cast("array<bigint>")).alias("relevant"), F.filter(F.coalesce("answers", F.array().cast("array<string>")), lambda x: ~x.rlike(r"[^A-Za-z ]")).alias("answers"))
+    return answering.scores(answering.judged(answering.ask(asked, quote), asked, truth))
+
+
 QUERIES = {f.__name__: f for f in (
-    knn_exact_l2, knn_pit_filtered, knn_index_recall, bm25_topk, bm25_visible_only, rrf_fusion, ranking_metrics, rerank_by_length, html_to_lines, chunk_documents, chunk_pages, chunk_ids, lexicon_terms, question_labels, question_splits,
+    answer_scores, knn_exact_l2, knn_pit_filtered, knn_index_recall, bm25_topk, bm25_visible_only, rrf_fusion, ranking_metrics, rerank_by_length, html_to_lines, chunk_documents, chunk_pages, chunk_ids, lexicon_terms, question_labels, question_splits,
 )}
 
 _UNIT = """v AS (SELECT vec_id AS id, [CAST(x AS DOUBLE) / sqrt(list_sum([CAST(y AS DOUBLE) * CAST(y AS DOUBLE) FOR y IN embedding])) FOR x IN embedding] AS e, label, vec_id * 60 AS known FROM embeddings)"""
