@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from tidemark.llm.common import bounded_batches, durable, join_small
+from tidemark.llm.common import bounded_batches, durable, join_small, worker_cache
 
 WORDS = 1 << 17
 SHAPES = 1 << 8
@@ -37,6 +37,9 @@ SIZE = WORDS + SHAPES + _EXTRA
 #: How much a share of 1 weighs against the presence of one word.
 _SHARE = 8.0
 
+#: Documents whose words a step of the fit spreads out at a time.
+_CHUNK = 1000
+
 _edge = re.compile(r"^[^\w]+|[^\w]+$")
 
 
@@ -74,7 +77,7 @@ def features(text: str | None, hashed: Hashed) -> tuple[np.ndarray, np.ndarray,
 
 
 class CumulativeLink:
-    """Weights shared by all grades, ascending thresholds; fitted by Adam with an L1 shrinkage of the word weights."""
+    """Weights shared by all grades, ascending thresholds; fitted by Adam under an L1 penalty on the words."""
 
     def __init__(self, weights: np.ndarray, thresholds: np.ndarray):
         self.weights, self.thresholds = weights, thresholds
@@ -84,45 +87,67 @@ class CumulativeLink:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None] - scores[:, None], -60, 60)))
 
     @staticmethod
-    def fit(words: list[np.ndarray], dense: np.ndarray, grades: np.ndarray, top: int, steps: int = 150, rate: float = 0.05, shrink: float = 2e-4) -> CumulativeLink:
+    def fit(words: list[np.ndarray], dense: np.ndarray, grades: np.ndarray, top: int, steps: int = 200, rate: float = 0.1, sparse: float = 3.0, shapes: float = 1.0) -> CumulativeLink:
+        """``sparse``: the pull of so many documents must agree before a word counts at all (an L1 penalty)."""
         n, sizes = len(grades), np.array([len(w) for w in words])
-        flat = np.concatenate([*words, np.zeros(0, np.int64)]).astype(np.int64)
-        owner = np.repeat(np.arange(n), sizes)
-        weights, thresholds = np.zeros(SIZE), np.linspace(-2, -1, top)
+        flat = np.concatenate([*words, np.zeros(0, np.int32)]).astype(np.int32)
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        # words of fewer documents than the penalty asks for can't count
+        often = np.bincount(flat, minlength=WORDS) >= sparse
+        owner, flat = owner[often[flat]], flat[often[flat]]
+        names = np.flatnonzero(np.bincount(flat, minlength=WORDS))
+        place = np.zeros(WORDS, np.int32)
+        place[names] = np.arange(len(names))
+        flat = place[flat]
+        starts = np.searchsorted(owner, np.arange(0, n + _CHUNK, _CHUNK))
+        chunks = [(slice(a, b), slice(i * _CHUNK, min(n, (i + 1) * _CHUNK))) for i, (a, b) in enumerate(zip(starts, starts[1:], strict=False))]
+        size = len(names) + dense.shape[1]
+        weights, thresholds = np.zeros(size), np.linspace(-2, -1, top)
         balance = np.bincount(grades, minlength=top + 1)
         each = (n / np.maximum(1, balance) / max(1, (balance > 0).sum()))[grades] ** 0.5
         each /= each.sum()
-        held = [np.zeros(SIZE + top) for _ in range(2)]
+        penalty = np.full(size, sparse / n)
+        penalty[len(names) :] *= shapes
+        held = [np.zeros(size + top) for _ in range(2)]
         for step in range(1, steps + 1):
-            scores = np.bincount(owner, weights[flat], n) + dense @ weights[WORDS:]
+            scores = dense @ weights[len(names) :]
+            for cells, rows in chunks:
+                scores[rows] += np.bincount(owner[cells] - rows.start, weights[flat[cells]], rows.stop - rows.start)
             edges = np.concatenate([[-60.0], thresholds, [60.0]])
-            upper, lower = (1 / (1 + np.exp(np.clip(scores - edges[grades + k], -60, 60))) for k in (1, 0))
-            likely = np.maximum(upper - lower, 1e-12)
+            upper, lower = (1 / (1 + np.exp(np.clip(edges[grades + k] - scores, -60, 60))) for k in (0, 1))
+            likely = np.maximum(upper - lower, 1e-12)  # P(grade >= own) - P(grade >= own + 1)
             up, low = upper * (1 - upper) / likely, lower * (1 - lower) / likely
-            pull = each * (low - up)  # slope of the log-likelihood in the score
-            slope = np.zeros(SIZE + top)
-            slope[:WORDS] = np.bincount(flat, pull[owner], WORDS)
-            slope[WORDS:SIZE] = pull @ dense
+            pull = each * (up - low)  # slope of the log-likelihood in the score
+            slope = np.zeros(size + top)
+            for cells, _ in chunks:
+                slope[: len(names)] += np.bincount(flat[cells], pull[owner[cells]], len(names))
+            slope[len(names) : size] = pull @ dense
             for j in range(top):
-                slope[SIZE + j] = (each * up)[grades == j].sum() - (each * low)[grades == j + 1].sum()
+                slope[size + j] = (each * low)[grades == j].sum() - (each * up)[grades == j + 1].sum()
+            own = slope[:size]
+            slope[:size] = np.where(weights != 0, own - penalty * np.sign(weights), np.sign(own) * np.maximum(0, np.abs(own) - penalty))
             held[0] = 0.9 * held[0] + 0.1 * slope
             held[1] = 0.99 * held[1] + 0.01 * slope**2
-            move = rate * (held[0] / (1 - 0.9**step)) / (np.sqrt(held[1] / (1 - 0.99**step)) + 1e-5)
-            weights += move[:SIZE]
-            weights[:WORDS] = np.sign(weights[:WORDS]) * np.maximum(0, np.abs(weights[:WORDS]) - shrink)
-            thresholds = np.maximum.accumulate(thresholds + move[SIZE:] + np.arange(top) * 1e-6)
-        return CumulativeLink(weights, thresholds)
+            move = rate * (1 - 0.95 * step / steps) * (held[0] / (1 - 0.9**step)) / (np.sqrt(held[1] / (1 - 0.99**step)) + 1e-4)
+            after = weights + move[:size]
+            weights = np.where((weights != 0) & (np.sign(after) != np.sign(weights)), 0.0, after)
+            thresholds = np.maximum.accumulate(thresholds + move[size:] + np.arange(top) * 1e-6)
+        full = np.zeros(WORDS + dense.shape[1])
+        full[names] = weights[: len(names)]
+        full[WORDS:] = weights[len(names) :]
+        return CumulativeLink(full, thresholds)
 
 
 def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashed = Hashed()
+    hashed = worker_cache("token features", Hashed)
     for batch in batches:
         words, dense = [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(2).to_pylist():
             w, s, e = features(text, hashed)
             words.append(w.astype("<i4").tobytes())
             dense.append(np.concatenate([s, e]).astype("<f4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), pa.array(dense, pa.binary())], names=["grade", "words", "dense"])
+        names = ["doc_id", "grade", "words", "dense", "sum"]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.binary()), pa.array(dense, pa.binary()), pa.array(list(map(zlib.crc32, words)), pa.int64())], names=names)
 
 
 def fit(docs: DataFrame, ratings: DataFrame, top: int, sample: int = 20_000) -> CumulativeLink | None:
@@ -131,15 +156,19 @@ def fit(docs: DataFrame, ratings: DataFrame, top: int, sample: int = 20_000) ->
     rated = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("long").alias("grade"))
     rated = durable(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "rated")
     texts = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id")  # at most ``sample`` narrow rows
-    told = texts.select("grade", "text").mapInArrow(_featured, "grade long, words binary, dense binary").toArrow()
+    told = texts.select(F.col("doc_id").cast("long"), "grade", "text").mapInArrow(_featured, "doc_id long, grade long, words binary, dense binary, sum long").toArrow()
     if not told.num_rows:
         return None
-    # in an order of their own: batches come back in any
-    order = sorted(range(told.num_rows), key=lambda i, w=told.column("words").to_pylist(), g=told.column("grade").to_pylist(): (g[i], w[i]))
-    told = told.take(pa.array(order))
-    words = [np.frombuffer(x, "<i4").astype(np.int64) for x in told.column("words").to_pylist()]
-    dense = np.stack([np.frombuffer(x, "<f4") for x in told.column("dense").to_pylist()]).astype(float)
-    return CumulativeLink.fit(words, dense, told.column("grade").to_numpy(), top)
+    # batches come back in any order; the fit has one of its own
+    told = told.sort_by([("doc_id", "ascending"), ("grade", "ascending"), ("sum", "ascending")]).combine_chunks()
+    grades = told.column("grade").to_numpy().astype(np.int64)
+    dense = np.frombuffer(b"".join(told.column("dense").to_pylist()), "<f4").reshape(len(grades), -1)
+    words = [np.frombuffer(x, "<i4") for x in told.column("words").to_pylist()]
+    del told
+    model = CumulativeLink.fit(words, dense, grades, top)
+    del words, dense
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def rate(docs: DataFrame, model: CumulativeLink | None, top: int, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -151,7 +180,7 @@ def rate(docs: DataFrame, model: CumulativeLink | None, top: int, keep: tuple[st
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, thresholds = shared.value
-        link, hashed = CumulativeLink(weights, thresholds), Hashed()
+        link, hashed = CumulativeLink(weights, thresholds), worker_cache("token features", Hashed)
         for batch in batches:
             scores = []
             for at in range(0, batch.num_rows, 200):
