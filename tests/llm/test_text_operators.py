@@ -89,6 +89,21 @@ def test_base_scores(docs, top):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9)
 
 
+def test_contexts():
+    texts = [b"the caf\xc3\xa9 of a man was open late and so on we went up to it in the end at last here now", b"", b"x", b"no marks here at all"]
+    flat, sizes = lblm._tokens(texts)
+    want = []
+    for t in texts:
+        words = [*t.split(), b""]
+        for i, w in enumerate(words):
+            last = lblm.word_class(words[i - 1]) if i else 0
+            marked = [lblm.word_mark(v) for v in words[max(0, i - lblm.MEMORY) : i] if lblm.word_mark(v) > lblm.PLAIN]
+            second = marked[-1] if marked else lblm.word_mark(words[i - 2]) if i > 1 else 0
+            want.append((second * lblm.CLASSES + last) * lblm.CLASSES + lblm.word_class(w))
+    classes, marks = (np.array([f(w) for w in flat]) for f in (lblm.word_class, lblm.word_mark))
+    assert lblm._trigrams(classes, marks, sizes).tolist() == want
+
+
 def test_scores_are_normalised():
     rng = np.random.default_rng(0)
     cells = rng.poisson(0.05, (lblm.CONTEXTS, lblm.CLASSES)).astype(float)
