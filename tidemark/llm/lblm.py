@@ -1,10 +1,12 @@
 """LM scoring: a log-bilinear neural model, trained in numpy by noise-contrastive estimation on the whole training corpus.
 
 Tokens are runs of characters other than 0x20 and 0x09 to 0x0D, A-Z in lower case, and one end per text.  The model
-predicts a token's class from the classes of the two tokens before it: the score of a class is the product of its feature
-vector with the sum of the two context vectors, each through the matrix of its position, plus a bias.  Classes are fixed in
-advance (short words by hash, others by hash of their last three bytes, the end by itself), so one pass over the texts
-gathers both the counts of all words and the counts of all class trigrams.  Training uses these complete statistics: the
+predicts a token's class from two context words: the token before, by its class, and the last token with a character beyond
+ASCII among the ``MEMORY`` before, by its mark (without one, the token before the last, by its).  The score of a class is the
+product of its feature vector with the sum of the two context vectors, each through the matrix of its position, plus a bias.
+Classes are fixed in advance (short words by hash, others by hash of their last three bytes, the end by itself), and so are
+marks (the first character beyond ASCII, else the last byte), so one pass over the texts gathers both the counts of all words
+and the counts of all class trigrams.  Training uses these complete statistics: the
 noise distribution is the classes' own, its expectation is taken exactly, and no row is sampled.  Afterwards batched matrix
 products over all contexts give the classes' probabilities, normalised; within a class a word has its smoothed share.
 
@@ -33,7 +35,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, durable
 
 #: Classes: 0 is the end of a text, then short words by hash, then longer ones by the hash of their ending.
-SHORT, ENDINGS, COARSE = 95, 96, 12
+SHORT, ENDINGS = 95, 96
+#: Marks: 0 is the end, then words in ASCII by their last byte, then others.
+PLAIN, MARKED = 5, 6
+COARSE = 1 + PLAIN + MARKED
+#: How many tokens back a marked word still counts.
+MEMORY = 16
 CLASSES = 1 + SHORT + ENDINGS
 CONTEXTS = COARSE * CLASSES
 #: Words whose counts every task holds, at most.
@@ -48,13 +55,23 @@ def word_class(word: bytes) -> int:
     return 1 + zlib.crc32(word) % SHORT if len(word) <= 4 else 1 + SHORT + zlib.crc32(word[-3:]) % ENDINGS
 
 
+def word_mark(word: bytes) -> int:
+    if not word:
+        return 0
+    if word.isascii():
+        return 1 + word[-1] % PLAIN
+    at = next(i for i, b in enumerate(word) if b >= 0x80)
+    return 1 + PLAIN + word[min(at + 1, len(word) - 1)] % MARKED
+
+
 class Lexicon(dict):
-    """Word to a running number, with the number's class; forgets all but the first ``keep`` words when full."""
+    """Word to a running number, with the number's class and mark; forgets all but the first ``keep`` words when full."""
 
     def __init__(self, words: Iterable[bytes] = (), most: int = 600_000):
         super().__init__()
         self.names: list[bytes] = []
         self.classes = np.zeros(most + len(list(words)) + 200_000, np.int64)
+        self.marks = np.zeros_like(self.classes)
         for w in words:
             self[w]
         self.keep, self.most = len(self.names), most + len(self.names)
@@ -63,7 +80,9 @@ class Lexicon(dict):
         n = len(self.names)
         if n == len(self.classes):
             self.classes = np.concatenate([self.classes, np.zeros(n, np.int64)])
+            self.marks = np.concatenate([self.marks, np.zeros(n, np.int64)])
         self.classes[n] = word_class(word)
+        self.marks[n] = word_mark(word)
         self.names.append(word)
         self[word] = n
         return n
@@ -87,12 +106,16 @@ def _tokens(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray]:
     return flat, sizes
 
 
-def _trigrams(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Each token's cell: context (coarse class of the token before the last, class of the last) times CLASSES, plus its class."""
+def _trigrams(classes: np.ndarray, marks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Each token's cell: context (mark, class of the token before) times CLASSES, plus its class."""
     before = np.concatenate([[0], classes[:-1]])
-    second = np.concatenate([[0], before[:-1]]) % COARSE
+    second = np.concatenate([[0, 0], marks])[: len(marks)]
     starts = np.cumsum(sizes) - sizes
     before[starts] = second[starts] = 0
+    place = np.arange(len(marks))
+    last = np.concatenate([[-1], np.maximum.accumulate(np.where(marks > PLAIN, place, -1))[:-1]])
+    near = (last >= np.repeat(starts, sizes)) & (last >= place - MEMORY)
+    second = np.where(near, marks[last], second)
     return (second * CLASSES + before) * CLASSES + classes
 
 
@@ -111,7 +134,7 @@ def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat, sizes = _tokens(batch.column(0).slice(at, 200).to_pylist())
             words.update(flat)
             numbers = np.fromiter(map(lexicon.__getitem__, flat), np.int64, len(flat))
-            cells += np.bincount(_trigrams(lexicon.classes[numbers], sizes), minlength=len(cells))
+            cells += np.bincount(_trigrams(lexicon.classes[numbers], lexicon.marks[numbers], sizes), minlength=len(cells))
             lexicon.trim()
             if len(words) >= _FLUSH:
                 yield told()
@@ -208,7 +231,7 @@ def score(docs: DataFrame, held_out_of: int = 10, top: int = TOP) -> DataFrame:
                 own = np.where(rare & (not complete), 0.0, log_count[np.where(rare, top_n, numbers)])
                 starts = np.cumsum(sizes) - sizes
                 base = np.add.reduceat(own, starts) - sizes * base_whole
-                learnt = np.add.reduceat(own + logp[_trigrams(classes, sizes)] - log_whole[classes], starts)
+                learnt = np.add.reduceat(own + logp[_trigrams(classes, lexicon.marks[numbers], sizes)] - log_whole[classes], starts)
                 seen = np.add.reduceat((~rare).astype(np.int64), starts)
                 rows = part.column(1).to_numpy()
                 n = len(sizes)
