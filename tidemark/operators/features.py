@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizes import small
+
 COLUMNS = ["entity", "feature", "feature_group", "event_time", "knowable_at", "value", "source_table", "source_ref"]
 
 
@@ -50,7 +52,7 @@ def year_over_year(vintages: DataFrame, series: str = "series_id", day: str = "o
 
 def map_concepts(facts: DataFrame, mapping: DataFrame, on: list[str]) -> DataFrame:
     """Facts whose concept is mapped, for the durations that the mapping allows.  ``mapping``: on, metric, priority, durations; it is small."""
-    return facts.join(F.broadcast(mapping), on).where(F.array_contains("durations", F.col("duration")))
+    return facts.join(small(mapping), on).where(F.array_contains("durations", F.col("duration")))
 
 
 def pick_concept(facts: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

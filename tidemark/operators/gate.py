@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizes import small
+
 ANY = "*"
 
 
@@ -16,15 +18,15 @@ def judge(measured: DataFrame, thresholds: DataFrame, waivers: DataFrame | None
     failures only.
     """
     named = lambda p: thresholds.select("check", "subject", F.col("rate").alias(f"{p}_rate"), F.col("tolerance").alias(f"{p}_tolerance"))
-    own = F.broadcast(named("own").where(F.col("subject") != ANY))
-    every = F.broadcast(named("any").where(F.col("subject") == ANY).drop("subject"))
+    own = small(named("own").where(F.col("subject") != ANY))
+    every = small(named("any").where(F.col("subject") == ANY).drop("subject"))
     df = measured.join(own, ["check", "subject"], "left").join(every, "check", "left")
     allowed = F.coalesce(F.col("own_rate") * F.col("measured") + F.col("own_tolerance"), F.col("any_rate") * F.col("measured") + F.col("any_tolerance"), F.lit(0.0))
     df = df.withColumn("allowed", allowed).withColumn("passed", F.col("failed") <= F.col("allowed")).drop("own_rate", "own_tolerance", "any_rate", "any_tolerance")
     if waivers is None:
         df = df.withColumn("waived", F.lit(False))
     else:
-        told = F.broadcast(waivers.select("check", "subject", "day").distinct().withColumn("__waived", F.lit(True)))
+        told = small(waivers.select("check", "subject", "day").distinct().withColumn("__waived", F.lit(True)))
         df = df.join(told, ["check", "subject", "day"], "left").withColumn("waived", F.coalesce("__waived", F.lit(False)) & ~F.col("passed")).drop("__waived")
     return df.withColumn("outcome", F.when(F.col("passed"), "passed").when(F.col("waived"), "waived").otherwise("failed"))
 

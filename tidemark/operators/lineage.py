@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import price_features
+from tidemark.plans.sizes import small
 
 #: Kinds in the order in which searches split them.
 KINDS = ("bar", "filing", "release")
@@ -125,7 +126,7 @@ def recompute(daily: DataFrame, withheld: DataFrame, window: int = 20, keys: lis
     order = Window.partitionBy(*keys).orderBy("session_date")
     placed = daily.withColumn("__at", F.row_number().over(order)).withColumn("item_id", item_id("bar", *[F.col(k) for k in keys], F.col("session_date")))
     gone = placed.select(*keys, F.col("__at").alias("__gone"), "item_id").join(withheld, "item_id").groupBy("world", *keys).agg(F.collect_set("__gone").alias("__gone"))
-    near = placed.join(F.broadcast(gone), keys)
+    near = placed.join(small(gone), keys)
     # the rows that follow a withheld bar are counted in bars that stay, hence the slack of all withheld ones
     slack = F.size("__gone")
     inside = F.exists("__gone", lambda g: F.col("__at").between(g - window - slack - 1, g + window + slack))

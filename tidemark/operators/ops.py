@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizes import small
+
 
 def newest(tables: dict[str, DataFrame], floors: dict[str, object] | None = None, known: str = "knowable_at") -> DataFrame:
     """table, newest: the latest knowable instant per table.  A floor (the last one found) prunes the scan; where it leaves nothing, the whole table counts."""
@@ -27,7 +29,7 @@ def newest(tables: dict[str, DataFrame], floors: dict[str, object] | None = None
 def staleness(found: DataFrame, tolerances: DataFrame, now) -> DataFrame:
     """age_days and stale: older than the table's tolerance in days, or empty."""
     age = (F.unix_micros(F.lit(now)) - F.unix_micros("newest")) / F.lit(86_400_000_000.0)
-    joined = found.join(F.broadcast(tolerances), "table").withColumn("age_days", age)
+    joined = found.join(small(tolerances), "table").withColumn("age_days", age)
     return joined.withColumn("stale", F.col("age_days").isNull() | (F.col("age_days") > F.col("tolerance_days")))
 
 

@@ -16,6 +16,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizes import small
+
 
 @dataclass(frozen=True)
 class Params:
@@ -64,7 +66,7 @@ def positions(seen: DataFrame, params: DataFrame, assets: int, periods: int = 36
     by = Window.partitionBy("entity").orderBy("as_of")
     fresh = F.col("close").isNotNull() & ~F.lag("close_time").over(by).eqNullSafe(F.col("close_time"))
     rows = seen.withColumn("history", F.collect_list(F.when(fresh, F.col("close"))).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("prior", F.lag("close").over(by)).crossJoin(F.broadcast(params))
+    rows = rows.withColumn("prior", F.lag("close").over(by)).crossJoin(small(params))
     n = F.size("history")
     momentum = F.try_divide(F.col("close"), F.get("history", n - 1 - F.col("lookback"))) - 1
     size = F.least(F.col("target_vol") / (F.col("vol") * math.sqrt(periods)), F.lit(leverage))

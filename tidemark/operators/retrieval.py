@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizes import small
+
 #: Queries that one pass over the corpus may carry to every task.
 QUERIES_AT_ONCE = 4096
 
@@ -110,15 +112,15 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: f
     known = docs.select("doc_id", F.size(tokens(F.col("text"))).alias("length"), "knowable_at")
     asked = queries.select("query_id", "text", *(["as_of"] if masked else [F.lit(None).cast("timestamp").alias("as_of")]))
     visible = (F.col("knowable_at") <= F.col("as_of")) if masked else F.lit(True)
-    instants = F.broadcast(asked.select("as_of").distinct())
+    instants = small(asked.select("as_of").distinct())
     seen = known.join(instants, visible, "inner") if masked else known.crossJoin(instants)
     stats = seen.groupBy("as_of").agg(F.count("*").alias("visible"), F.avg("length").alias("mean"))
     place = F.row_number().over(Window.partitionBy("as_of").orderBy("doc_id"))
     first = seen.select("as_of", "doc_id").withColumn("n", place).where(F.col("n") <= k).drop("n")
     terms = asked.select("query_id", "as_of", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    hits = postings(docs).join(docs.select("doc_id", "knowable_at"), "doc_id").join(F.broadcast(terms), "term").where(visible)
+    hits = postings(docs).join(docs.select("doc_id", "knowable_at"), "doc_id").join(small(terms), "term").where(visible)
     df = hits.groupBy("query_id", "term").agg(F.count("*").alias("df"))
-    scored = hits.join(df, ["query_id", "term"]).join(F.broadcast(stats.where("as_of is not null") if masked else stats.drop("as_of")), *(["as_of"] if masked else []))
+    scored = hits.join(df, ["query_id", "term"]).join(small(stats.where("as_of is not null")) if masked else F.broadcast(stats.drop("as_of")), *(["as_of"] if masked else []))
     mean = F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0)
     idf = F.ln(1 + (F.col("visible") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean))

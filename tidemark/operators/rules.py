@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizes import small
+
 DROP, HALT, RECORD = "drop", "halt", "record"
 DUPLICATE = "duplicate_key"
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -82,7 +84,7 @@ def typed(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
 def with_registry(df: DataFrame, registry: DataFrame, on: list[str]) -> DataFrame:
     """_registered: whether the row's source is in the (small) registry."""
     known = registry.select(*on).distinct().withColumn("_registered", F.lit(True))
-    return df.join(F.broadcast(known), on, "left").withColumn("_registered", F.coalesce("_registered", F.lit(False)))
+    return df.join(small(known), on, "left").withColumn("_registered", F.coalesce("_registered", F.lit(False)))
 
 
 def look_up(df: DataFrame, table: DataFrame, lookup: Lookup) -> DataFrame:

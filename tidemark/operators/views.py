@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizes import small
+
 
 @dataclass(frozen=True)
 class View:
@@ -123,7 +125,7 @@ def later_dates(answer: Column, question: Column, as_of: Column) -> Column:
 
 def carried_forward(prices: DataFrame, holdings: DataFrame, key: str = "symbol", day: str = "session_date", price: str = "close") -> DataFrame:
     """day, value of ``holdings`` (key, quantity): each day's last known prices, from the day on which all held have one."""
-    held = F.broadcast(holdings.groupBy(key).agg(F.sum("quantity").alias("quantity")))
+    held = small(holdings.groupBy(key).agg(F.sum("quantity").alias("quantity")))
     mine = prices.join(held, key)
     days = mine.select(day).distinct()
     grid = days.crossJoin(held)

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampType
 
+from tidemark.plans.sizes import small
+
 VALUE = ["event_time", "knowable_at", "source_table", "source_ref", "value"]
 RESULT = ["entity", "as_of", "feature", *VALUE]
 #: A spine of at most so many rows is broadcast.
@@ -65,10 +67,11 @@ def visibility(facts: DataFrame) -> DataFrame:
     return changed.withColumn("valid_to", F.lead("valid_from").over(order)).select("entity", "feature", "w.*", "valid_from", "valid_to")
 
 
-def interval_plan(facts: DataFrame, spine: DataFrame, small: bool = True) -> DataFrame:
+def interval_plan(facts: DataFrame, spine: DataFrame) -> DataFrame:
+    """Validities joined to the probes; these are broadcast if they are few enough."""
     probes = spine.withColumnRenamed("entity", "probed")
     during = (F.col("valid_from") <= F.col("as_of")) & (F.col("valid_to").isNull() | (F.col("as_of") < F.col("valid_to")))
-    return visibility(facts).join(F.broadcast(probes) if small else probes, (F.col("entity") == F.col("probed")) & during).select(*RESULT)
+    return visibility(facts).join(small(probes, SMALL_SPINE), (F.col("entity") == F.col("probed")) & during).select(*RESULT)
 
 
 def as_of(facts: DataFrame, spine: DataFrame, global_entity: str | None = None, plan: str = "auto") -> DataFrame:
