@@ -64,7 +64,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 800_000:
+        if len(self) > 500_000:
             self.clear()
         out = self[word] = xxhash.xxh3_64_intdigest(word)
         return out

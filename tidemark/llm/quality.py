@@ -56,7 +56,7 @@ class Hashed(dict):
         word = _edge.sub("", token).lower()
         place = zlib.crc32(word.encode()) % WORDS if word else WORDS
         out = place << 8 | zlib.crc32(shape(token).encode()) % SHAPES
-        if len(self) > 400_000:
+        if len(self) > 300_000:
             self.clear()
         self[token] = out
         return out
