@@ -112,20 +112,26 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: f
     known = docs.select("doc_id", F.size(tokens(F.col("text"))).alias("length"), "knowable_at")
     asked = queries.select("query_id", "text", *(["as_of"] if masked else [F.lit(None).cast("timestamp").alias("as_of")]))
     visible = (F.col("knowable_at") <= F.col("as_of")) if masked else F.lit(True)
-    instants = small(asked.select("as_of").distinct())
-    seen = known.join(instants, visible, "inner") if masked else known.crossJoin(instants)
-    stats = seen.groupBy("as_of").agg(F.count("*").alias("visible"), F.avg("length").alias("mean"))
-    place = F.row_number().over(Window.partitionBy("as_of").orderBy("doc_id"))
-    first = seen.select("as_of", "doc_id").withColumn("n", place).where(F.col("n") <= k).drop("n")
+    # lengths are summed per instant of knowledge first: the join by time then never touches a text
+    steps = known.groupBy("knowable_at").agg(F.count("*").alias("n"), F.sum("length").alias("total"))
+    sums = [F.sum("n").alias("visible"), (F.sum("total") / F.sum("n")).alias("mean")]
+    if masked:
+        instants = small(asked.select("as_of").distinct())
+        stats = steps.join(instants, visible).groupBy("as_of").agg(*sums)
+        place = F.row_number().over(Window.partitionBy("as_of").orderBy("doc_id"))
+        first = docs.select("doc_id", "knowable_at").join(instants, visible).select("as_of", "doc_id").withColumn("n", place).where(F.col("n") <= k).drop("n")
+    else:
+        stats = steps.agg(*sums)
+        first = docs.select("doc_id").orderBy("doc_id").limit(k)
     terms = asked.select("query_id", "as_of", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
     hits = postings(docs).join(docs.select("doc_id", "knowable_at"), "doc_id").join(small(terms), "term").where(visible)
     df = hits.groupBy("query_id", "term").agg(F.count("*").alias("df"))
-    scored = hits.join(df, ["query_id", "term"]).join(small(stats.where("as_of is not null")) if masked else F.broadcast(stats.drop("as_of")), *(["as_of"] if masked else []))
+    scored = hits.join(df, ["query_id", "term"]).join(small(stats) if masked else F.broadcast(stats), *(["as_of"] if masked else []))
     mean = F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0)
     idf = F.ln(1 + (F.col("visible") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean))
     found = scored.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
-    fill = asked.select("query_id", "as_of").join(first, "as_of") if masked else asked.select("query_id").crossJoin(F.broadcast(first.select("doc_id")))
+    fill = asked.select("query_id", "as_of").join(first, "as_of") if masked else asked.select("query_id").crossJoin(F.broadcast(first))
     every = found.unionByName(fill.select("query_id", "doc_id", F.lit(0.0).alias("score"))).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 9).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id"))
     return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
