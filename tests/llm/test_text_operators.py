@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -279,6 +280,38 @@ def test_a_bucket_without_a_hub(spark, monkeypatch):
     assert [r["group_id"] for r in out.orderBy("doc_id").collect()] == plain_near(texts)
 
 
+def repeating(rng, often):
+    """Two texts of the same distinct shingles but a few, each repeating another half of them."""
+    x, y = ([f"w{i}" for i in rng.integers(0, 10**6, 60)] for _ in range(2))
+    return " ".join(x * often + y), " ".join(x + y * often)
+
+
+def test_copies_that_repeat_other_passages(spark):
+    """Near by their distinct shingles, far by weights."""
+    rng = np.random.default_rng(7)
+    texts = [t for _ in range(8) for t in repeating(rng, 60)]
+    h, t, s = probminhash.shingles(texts[:2])
+    weighted, plain = probminhash.similarity(h[: s[1]], t[: s[1]], h[s[1] :], t[s[1] :])
+    assert weighted < 0.4 and plain > 0.9
+    want = plain_near(texts)
+    out = probminhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert len(set(want)) == 8
+    assert [r["group_id"] for r in out.orderBy("doc_id").collect()] == want
+
+
+def test_signatures_exclude_only_if_both_do():
+    rng = np.random.default_rng(8)
+    pair = repeating(rng, 60)
+    rows = [r for b in probminhash._sketched([pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([0, 1]), pa.array(pair)], names=["row", "doc_id", "text"])]) for r in b.to_pylist()]
+    signed = [r["signature"] for b in probminhash._features([pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(pair)], names=["row", "text"])]) for r in b.to_pylist()]
+    meet = [(b, i, j) for i, b in enumerate(rows[0]["bands"]) for j, c in enumerate(rows[1]["bands"]) if b == c]
+    found = []
+    for _, i, j in meet:
+        table = pa.table({"no": [i, j], "node": [0, 1], "part": [0, 1], "signature": pa.array(signed, pa.binary()), "bands": [r["bands"] for r in rows], "outside": [True, False]})
+        found += probminhash._block(366, False)(table).to_pylist()
+    assert [(r["a"], r["b"]) for r in found] == [(0, 1)]  # met in one of the bands they share
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(0)
     shared = rng.integers(0, 2**63, 300).astype(np.uint64)

@@ -4,9 +4,11 @@ A text's features are its shingles of five words (lower case, words between blan
 shingle is the source of a Poisson process whose rate is its weight: its arrivals, in time order, go to registers in an order
 of its own, seeded by the shingle; a register keeps the shingle that arrives first.  A shingle stops as soon as its next
 arrival is later than every register's (early termination).  Two texts agree in a register with a probability equal to the
-probability Jaccard similarity of their weights.  Bands of registers give candidates, and exact similarities verify them:
-two texts are linked if the probability Jaccard of their weights, or the plain Jaccard of their distinct shingles, is at
-least ``threshold``.  Groups are the connected components of the links.
+probability Jaccard similarity of their weights.  A text that repeats a shingle gets a second, plain sketch with all weights 1,
+whose registers agree with the probability of the plain Jaccard similarity; of all other texts both sketches are the same.
+Bands of the registers of either give candidates, and exact similarities verify them: two texts are linked if the probability
+Jaccard of their weights, or the plain Jaccard of their distinct shingles, is at least ``threshold``.  Groups are the connected
+components of the links.
 
 Texts with equal shingles are one class from the start.  Within a band's bucket not all pairs are made:
 
@@ -16,8 +18,8 @@ Texts with equal shingles are one class from the start.  Within a band's bucket
 3. all pairs still in different components whose signatures don't exclude the threshold are verified.
 
 So every pair of a bucket is either in one component already, or verified, or excluded by its signatures: longer sketches,
-made for members of buckets only, whose agreement lies more than 4.5 standard deviations below the threshold.  A pair counts
-in the first band it shares.  No bucket, class or component is ever held by one task, and none capped.
+weighted and plain, made for members of buckets only, whose agreements both lie more than 4.5 standard deviations below the
+threshold.  A pair counts in the first band it shares.  No bucket, class or component is ever held by one task, and none capped.
 
 Defined cases: a null or blank text has no shingle, and all such texts are equal; a text of fewer than five words is one
 shingle; the row with the smallest id of a group (null last, then the first row) stays; rows that repeat an id are rows of
@@ -126,6 +128,19 @@ def sketch(hashes: np.ndarray, weight: np.ndarray, starts: np.ndarray, m: int =
     return who.reshape(n, m)
 
 
+def sketches(hashes: np.ndarray, times: np.ndarray, starts: np.ndarray, m: int = REGISTERS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Registers by weights, registers of the distinct shingles alone, and which texts repeat a shingle: of others both are the same."""
+    who = sketch(hashes, weights(times), starts, m)
+    sizes = np.diff(starts)
+    repeated = np.concatenate([[0], np.cumsum(times > 1)])[starts]
+    again = np.diff(repeated) > 0
+    if not again.any():
+        return who, who, again
+    plain, own = who.copy(), hashes[np.repeat(again, sizes)]
+    plain[again] = sketch(own, np.ones(len(own)), np.concatenate([[0], np.cumsum(sizes[again])]), m)
+    return who, plain, again
+
+
 def similarity(a: np.ndarray, a_times: np.ndarray, b: np.ndarray, b_times: np.ndarray) -> tuple[float, float]:
     """Probability Jaccard of the weights and plain Jaccard, exactly, of two ascending lists of distinct shingles."""
     if not len(a) or not len(b):
@@ -148,26 +163,32 @@ def similarity(a: np.ndarray, a_times: np.ndarray, b: np.ndarray, b_times: np.nd
     return float((1.0 / (above / x + upto / y)).sum()), plain
 
 
+def _bands(who: np.ndarray) -> np.ndarray:
+    bands = np.zeros((len(who), BANDS), np.uint64)
+    for j in range(ROWS):
+        bands = bands * _POLY + mix(who[:, j * BANDS : (j + 1) * BANDS] + _STEP)
+    return mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP).view(np.int64)
+
+
 def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
             hashes, times, starts = shingles(part.column(2).to_pylist())
             n = part.num_rows
-            who = sketch(hashes, weights(times), starts)
+            who, plain, again = sketches(hashes, times, starts)
             key = np.zeros((2, n + 1), np.uint64)
             for k in range(2):
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes + step(k + 1)) * times.astype(np.uint64))])
                 key[k, :n] = np.diff(sums[starts])
-            bands = np.zeros((n, BANDS), np.uint64)
-            for j in range(ROWS):
-                bands = bands * _POLY + mix(who[:, j * BANDS : (j + 1) * BANDS] + _STEP)
-            bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP).view(np.int64)
             some = np.diff(starts) > 0
+            bands = [b.tolist() if s else [] for b, s in zip(_bands(who), some, strict=True)]
+            for i, more in zip(np.flatnonzero(again).tolist(), _bands(plain[again]).tolist(), strict=True):
+                bands[i] += more
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), part.column(1), pa.array(key[0, :n].view(np.int64)), pa.array(key[1, :n].view(np.int64)),
-                    pa.array([b.tolist() if s else [] for b, s in zip(bands, some, strict=True)], pa.list_(pa.int64())),
+                    pa.array(bands, pa.list_(pa.int64())),
                 ],
                 names=["row", "doc_id", "k1", "k2", "bands"],
             )
@@ -182,8 +203,10 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 told.append(hashes[s:e].tobytes())
                 often.append(b"" if not e - s or times[s:e].max() == 1 else times[s:e].astype("<u4").tobytes())
-            long = (sketch(hashes, weights(times), starts, LONG) & np.uint64(2**16 - 1)).astype("<u2")
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(told, pa.binary()), pa.array(often, pa.binary()), pa.array([x.tobytes() for x in long], pa.binary())], names=["node", "hashes", "times", "signature"])
+            who, plain, again = sketches(hashes, times, starts, LONG)
+            long, bare = ((x & np.uint64(2**16 - 1)).astype("<u2") for x in (who, plain))
+            signed = [x.tobytes() + (y.tobytes() if more else b"") for x, y, more in zip(long, bare, again.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(told, pa.binary()), pa.array(often, pa.binary()), pa.array(signed, pa.binary())], names=["node", "hashes", "times", "signature"])
 
 
 def _times(raw: bytes, n: int) -> np.ndarray:
@@ -247,16 +270,20 @@ def components(links: DataFrame) -> DataFrame:
 
 def _block(least: int, best_only: bool):
     def run(table: pa.Table) -> pa.Table:
-        outside, no = table.column("outside").to_numpy(zero_copy_only=False), table.column("no")[0].as_py()
+        outside, no = table.column("outside").to_numpy(zero_copy_only=False), table.column("no").to_numpy()
         node, part = table.column("node").to_numpy(), table.column("part").to_numpy()
-        told = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(len(node), LONG)
-        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), BANDS)
+        # by weights and plain: of texts that repeat no shingle the same twice
+        signed, named = table.column("signature").to_pylist(), table.column("bands").to_pylist()
+        told = np.frombuffer(b"".join(x[: 2 * LONG] + x[-2 * LONG :] for x in signed), "<u2").reshape(len(node), 2, LONG)
+        bands = np.array([x[:BANDS] + x[-BANDS:] for x in named], np.int64).reshape(len(node), 2, BANDS)
+        kinds = range(2 if any(len(x) > BANDS for x in named) else 1)
         mine, them = np.flatnonzero(outside), np.flatnonzero(~outside)
-        their_bands = bands[them]
+        their_bands = bands[them][:, : len(kinds)]
         a, b, p, agree = [], [], [], []
         for i in mine.tolist():
-            hit = them[(np.argmax(their_bands == bands[i], axis=1) == no) & (part[them] != part[i])]
-            much = (told[hit] == told[i]).sum(1)
+            shared = np.concatenate([(their_bands == bands[i, k]).any(1) for k in kinds], axis=1)
+            hit = them[(np.argmax(shared, axis=1) == no[i]) & (part[them] != part[i])]
+            much = np.max([(told[hit, k] == told[i, k]).sum(1) for k in kinds], axis=0)
             hit, much = hit[much >= least], much[much >= least]
             if best_only and len(hit):
                 order = np.lexsort((node[hit], -much))
@@ -306,7 +333,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = sketched.groupBy("k1", "k2").agg(first, F.count("*").alias("copies"), F.first("bands").alias("bands"))
     classes = durable(classes.select("k1", "k2", F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), "copies", "bands"), "classes")
 
-    banded = classes.select("node", "copies", F.posexplode("bands").alias("no", "band"))
+    banded = classes.select("node", "copies", "bands", F.posexplode("bands").alias("no", "band"))
+    # a plain band that equals the weighted one stands in the same bucket already
+    banded = banded.where(~F.col("band").eqNullSafe(F.get("bands", F.col("no") - BANDS))).select("node", "copies", "no", "band")
     buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.max(F.struct(F.col("copies"), (-F.col("node")).alias("node"))).alias("lead")).where("n > 1")
     buckets = durable(buckets.select("band", "n", (-F.col("lead.node")).alias("leader")), "buckets")
     members = durable(join_groups(banded.select("band", "no", "node"), buckets, ["band"], "n", total), "members")
