@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tidemark.queries import ORACLE, QUERIES
+from tidemark.queries import ORACLE, QUERIES, streaming
+from tidemark.queries import frames as fr
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -40,6 +41,18 @@ def test_query_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
 
 
+def test_streams_over_the_whole_load_log(spark, duck, sf):
+    log = fr.load_log(spark, sf)
+    sql = f"""WITH {fr.LOAD_LOG} SELECT path, rows AS bytes, epoch_us(loaded_at) AS fetched_at_us FROM log"""
+    every = sorted(duck.execute(sql).fetchall())
+    assert len(every) > 400
+    assert sorted(map(tuple, streaming.discovered(spark, log).select("path", "bytes", "fetched_at_us").collect())) == every
+    best = {}
+    for path, rows, at in every:
+        best[path] = max(best.get(path, (at, rows)), (at, rows))
+    assert sorted(map(tuple, streaming.latest(spark, log).collect())) == sorted((p, rows, at) for p, (at, rows) in best.items())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,6 +9,9 @@ from pyspark.sql import functions as F
 from tidemark.queries import frames as fr
 from tidemark.streaming import streams
 
+#: Files of manifests, so that the upsert takes several batches.
+_FILES = 12
+
 
 def _folder(spark, name: str) -> str:
     """A folder of its own under the shared one, or under the warehouse where none is named."""
@@ -17,42 +19,58 @@ def _folder(spark, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def _manifests(spark, d, root: str) -> str:
-    """Manifests as files: one per path, and of some a second one, fetched later."""
-    log = fr.load_log(spark, d).where("run < 400")
+def _capped(spark, d):
+    """The part of the load log that the registered SQL reads."""
+    return fr.load_log(spark, d).where("run < 400")
+
+
+def _manifests(spark, log, root: str) -> str:
+    """Manifests of a load log as files, written by tasks: one per path, and of some a second one, fetched later."""
     told = log.select(
         "path", F.lit("s").alias("source"), F.col("table").alias("dataset"), "symbol", F.col("period").cast("string").alias("period_start"), F.md5("path").alias("sha256"), F.col("rows").alias("bytes"),
         F.date_format("loaded_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("fetched_at"),
     )
-    landed = f"{root}/landed"
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    rows = told.orderBy("path", "fetched_at").collect()
-    for i in range(0, len(rows), 50):
-        path = jvm.org.apache.hadoop.fs.Path(f"{landed}/batch-{i:06d}.manifest.json")
-        stream = path.getFileSystem(conf).create(path, True)
-        stream.write(bytearray("\n".join(json.dumps(r.asDict()) for r in rows[i : i + 50]).encode()))
-        stream.close()
+    written, landed = f"{root}/written", f"{root}/landed"
+    told.repartition(_FILES).write.json(written)
+    # the driver only renames: a manifest is known by its ending
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path(written).getFileSystem(conf)
+    fs.mkdirs(path(landed))
+    for f in fs.listStatus(path(written)):
+        name = f.getPath().getName()
+        if name.startswith("part-") and not fs.rename(f.getPath(), path(f"{landed}/{name.removesuffix('.json')}.manifest.json")):
+            raise OSError(f"{written}/{name} could not be renamed")
     return landed
 
 
-def stream_manifest_available_now(spark, d):
+def discovered(spark, log):
+    """The manifests of ``log`` as a stream finds them."""
     root = _folder(spark, "manifests")
-    landed = _manifests(spark, d, root)
+    landed = _manifests(spark, log, root)
     for _ in range(2):  # the second run finds nothing new
         streams.discover(spark, landed, f"{root}/table", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/table").select("path", "dataset", "symbol", "period_start", "sha256", "bytes", *fr.micros("fetched_at"))
 
 
-def stream_latest_wins(spark, d):
+def latest(spark, log):
+    """The latest manifest of each path of ``log``, merged batch by batch."""
     from tidemark.sources.store import SnapshotStore
 
     root = _folder(spark, "latest")
-    landed = _manifests(spark, d, root)
+    landed = _manifests(spark, log, root)
     stream = streams.manifest_stream(spark, landed, most_files=3).drop("_manifest_path")
     streams.upsert_latest(stream, ["path"], ["fetched_at"], f"{root}/store", f"{root}/checkpoint")
     return SnapshotStore(spark, f"{root}/store").read("latest").select("path", "bytes", *fr.micros("fetched_at"))
 
 
+def stream_manifest_available_now(spark, d):
+    return discovered(spark, _capped(spark, d))
+
+
+def stream_latest_wins(spark, d):
+    return latest(spark, _capped(spark, d))
+
+
 def tumbling_window(spark, d):
     return _told(streams.windowed(fr.table(spark, d, "events"), "ts", "6 hours", by=["event_type"]))
 
