@@ -68,6 +68,13 @@ def test_thresholds_ascend_and_gradients_agree():
     assert (m.at_least(scores).sum(1).round() == grades).mean() > 0.95
 
 
+def test_shape_of_the_whole_token():
+    assert quality.shape("a" * 64 + "-42!") == "a-0!"
+    assert quality.shape("x" * 100_000 + "Y" * 100_000) == "aA"
+    long, longer = (quality.features("a" * 70 + end, quality.Hashed())[1] for end in ("", "#7"))
+    assert (long != longer).any()
+
+
 # -- 4: LM scoring
 
 

@@ -44,8 +44,8 @@ _edge = re.compile(r"^[^\w]+|[^\w]+$")
 
 
 def shape(token: str) -> str:
-    """Runs of capitals, other letters and digits as one character each, marks as they are, once."""
-    out = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token[:64])
+    """Runs of capitals, other letters and digits as one character each, marks as they are, once; of the whole token."""
+    out = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
     return re.sub(r"(.)\1+", r"\1", out)
 
 
