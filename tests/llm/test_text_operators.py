@@ -168,9 +168,9 @@ def test_mix_emits_copies(spark, docs, none):
     sized = mixing.sizes_of(docs)
     took = mixing.with_copies(sized, mixing.plan(sized)).collect()
     assert sorted((r["doc_id"] or -1, r["size"]) for r in took) == sorted((i or -1, len(WORD.findall(t or ""))) for i, t in ROWS)
-    assert all(0 <= r["__copies"] <= 2 for r in took)
+    assert all(0 <= r["copies"] <= 2 for r in took)
     mixed = mixing.mix(docs)
-    assert mixed.columns == docs.columns and mixed.count() == sum(r["__copies"] for r in took)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in took)
     assert sorted(map(str, mixed.collect())) == sorted(map(str, mixing.mix(docs.repartition(5)).collect()))
     assert mixing.mix(none).count() == 0
 

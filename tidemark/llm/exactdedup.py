@@ -1,14 +1,15 @@
 """Exact dedup: Golomb-coded fingerprint exchange, duplicate bitmaps, byte verification of suspects.
 
-Texts are equal when identical after deletion of every character of 0x20 and 0x09 to 0x0D.  Each input partition sends its
-distinct 64-bit fingerprints, sorted and Golomb-coded, to the owners of the fingerprints' ranges.  An owner decodes its lists
-and answers each with a bitmap of the fingerprints that others sent too.  Rows whose bit is set, or that meet an equal
-fingerprint at home, are suspects; only the suspects' texts are grouped, by the bytes of the texts themselves and after a
-partial aggregation in each task, so that a group of any size costs its reducer one row per task.  All other rows are final
-without their texts ever leaving their partition.
+Texts are equal when identical after deletion of every character of 0x20 and 0x09 to 0x0D.  The table is written once, with a
+number and a 64-bit fingerprint for each row.  Every part of it, where it lies, sends its distinct fingerprints, sorted and
+Golomb-coded, to the owners of the fingerprints' ranges.  An owner decodes its lists and answers each with a bitmap of the
+fingerprints that others sent too.  Rows whose bit is set, or that meet an equal fingerprint at home, are suspects; the answers
+are turned into one bitmap of places for each part and applied to the written part.  Only the suspects' texts are shuffled:
+they are grouped by their bytes, after a partial aggregation in each task, so that a group of any size costs its reducer one
+row per task.  All other rows are final; neither their texts nor their fingerprints leave their part.
 
 Classes of more than a fixed share of all rows are joined back by broadcast (their number is bounded by that share), the
-others by shuffle.
+others by shuffle.  Whoever drops copies reads the numbered table again, so a row is the same row in every pass.
 
 Defined cases: a null text counts as empty, so all empty, blank and null texts are equal; of equal texts the row with the
 most code points stays, then the smallest id (null last), then the first row; rows that repeat an id are rows of their own;
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, forget, join_groups, join_small, without_blanks
+from tidemark.llm.common import Numbered, durable, join_groups, place_of, unused, without_blanks
 
 #: Fingerprints an owner answers for, on average.
 OWNED = 1 << 20
@@ -89,58 +90,65 @@ def _answer(table: pa.Table) -> pa.Table:
 
 
 def _flag(rows: pa.Table, answers: pa.Table) -> pa.Table:
-    distinct, place, times = _home(rows.column("print"))
+    """The places of a part's suspects, as a bitmap."""
+    if not rows.num_rows:
+        return pa.table({"part": pa.array([], pa.int64()), "bits": pa.array([], pa.binary())})
+    distinct, which, times = _home(rows.column("print"))
     shared = np.zeros(len(distinct), bool)
     at = 0
     # answers in the order of their owners cover the distinct fingerprints from end to end
     for _, n, bitmap in sorted(zip(*(answers.column(c).to_pylist() for c in ("owner", "n", "bitmap")), strict=True)):
         shared[at : at + n] = np.unpackbits(np.frombuffer(bitmap, np.uint8), count=n).astype(bool)
         at += n
-    suspect = (shared | (times > 1))[place]
-    return rows.drop_columns(["part"]).append_column("suspect", pa.array(suspect))
+    place = rows.column("place").to_numpy()
+    suspect = np.zeros(int(place.max()) + 1, np.uint8)
+    suspect[place] = (shared | (times > 1))[which]
+    return pa.table({"part": rows.column("part").slice(0, 1), "bits": pa.array([np.packbits(suspect, bitorder="little").tobytes()], pa.binary())})
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """part, row, doc_id, chars, sha, print of every row: what the exchange needs of the texts."""
-    bare = without_blanks(F.col("text"))
-    return docs.select(
-        F.spark_partition_id().cast("long").alias("part"), F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"), F.sha2(bare, 256).alias("sha")
-    ).withColumn("print", F.xxhash64("sha"))
+def suspects(docs: Numbered, prints: str, total: int) -> DataFrame:
+    """part, bits: for each part of a numbered table the rows whose fingerprint another row has too.
 
-
-def suspects(prints: DataFrame, total: int) -> DataFrame:
-    """``prints`` with a column suspect: whether another row has the same fingerprint."""
+    Lists are coded where the rows lie and answers applied there: only codes and bitmaps are shuffled.
+    """
     owners = LEAST_OWNERS
     while owners * OWNED < total:
         owners *= 2
     bits = owners.bit_length() - 1
-    sent = prints.select("part", "print").groupBy("part").applyInArrow(lambda t: _send(t, bits), "owner long, part long, n long, k int, code binary")
+    here = docs.table.select(F.col(docs.part).alias("part"), place_of(F.col(docs.row)).alias("place"), F.col(prints).alias("print"))
+    sent = here.select("part", "print").groupBy("part").applyInArrow(lambda t: _send(t, bits), "owner long, part long, n long, k int, code binary")
     answers = sent.groupBy("owner").applyInArrow(_answer, "part long, owner long, n long, bitmap binary")
-    return prints.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_flag, "row long, doc_id long, chars long, sha string, print long, suspect boolean")
+    return here.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_flag, "part long, bits binary")
 
 
 def _first(chars: Column, doc_id: Column, row: Column) -> Column:
     return F.min(F.struct((-chars).alias("chars"), doc_id.isNull().alias("none"), doc_id.alias("doc_id"), row.alias("row")))
 
 
+def _dedup(docs: DataFrame) -> tuple[Numbered, DataFrame]:
+    """``docs``, numbered, and for each row: row, doc_id, keep_id, group_size, kept, text_sha256."""
+    chars, sha, prints = (unused(docs, c) for c in ("chars", "sha", "print"))
+    known = docs.withColumn(chars, F.length(F.coalesce("text", F.lit(""))).cast("long")).withColumn(sha, F.sha2(without_blanks(F.col("text")), 256)).withColumn(prints, F.xxhash64(sha))
+    held = Numbered(known)
+    total = held.table.count()
+    bits = durable(suspects(held, prints, total), "suspects")
+    narrow = [F.col(held.row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(chars).alias("chars"), F.col(sha).alias("sha")]
+    several = held.chosen(bits)
+    texts = several.select(*narrow[:3], without_blanks(F.col("text")).alias("bare"), F.col(prints).alias("print"))
+    grouped = texts.groupBy("print", "bare").agg(F.count("*").alias("group_size"), _first(F.col("chars"), F.col("doc_id"), F.col("row")).alias("first"))
+    classes = durable(grouped.select(F.sha2("bare", 256).alias("sha"), "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row")), "classes")
+    single = held.chosen(bits, among=False).select(*narrow[:2], F.col("doc_id").cast("long").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col(sha).alias("text_sha256"))
+    joined = join_groups(several.select(*narrow), classes, ["sha"], "group_size", total)
+    rest = joined.select("row", "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"))
+    return held, single.unionByName(rest)
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): row, doc_id, keep_id, group_size, kept, text_sha256."""
-    prints = durable(fingerprints(docs), "prints")
-    total = prints.count()
-    flagged = durable(suspects(prints, total), "flagged")
-    bare = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    bare = bare.select(F.col("doc_id").cast("long").alias("doc_id"), "row", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"), without_blanks(F.col("text")).alias("bare")).withColumn("print", F.xxhash64(F.sha2("bare", 256)))
-    met = join_small(bare, flagged.where("suspect").select("print").distinct(), ["print"], "left_semi")
-    grouped = met.groupBy("print", "bare").agg(F.count("*").alias("group_size"), _first(F.col("chars"), F.col("doc_id"), F.col("row")).alias("first"))
-    classes = durable(grouped.select(F.sha2("bare", 256).alias("sha"), "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row")), "classes")
-    single = flagged.where("not suspect").select("row", "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
-    joined = join_groups(flagged.where("suspect").select("row", "doc_id", "sha"), classes, ["sha"], "group_size", total)
-    several = joined.select("row", "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"))
-    forget(prints)
-    return single.unionByName(several)
+    return _dedup(docs.select("doc_id", "text"))[1]
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns kept."""
-    gone = dedup(docs).where("not kept").select(F.col("row").alias("__row"))
-    return join_small(docs.withColumn("__row", F.monotonically_increasing_id()), durable(gone, "gone"), ["__row"], "left_anti").select(*docs.columns)
+    held, told = _dedup(docs)
+    return held.without(told.where(~F.col("kept"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, durable
+from tidemark.llm.common import slices, durable
 
 #: Classes: 0 is the end of a text, then short words by hash, then longer ones by the hash of their ending.
 SHORT, ENDINGS = 95, 96
@@ -184,7 +184,6 @@ def score(docs: DataFrame, held_out_of: int = 10, top: int = TOP) -> DataFrame:
     The model learns from the rows whose crc32(doc_id as text) modulo ``held_out_of`` is not 0.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     held_out = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % held_out_of) == 0
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), held_out.alias("held_out"), F.col("text").cast("binary").alias("text"))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, join_small
+from tidemark.llm.common import BROADCAST_ROWS, durable, join_groups, unused
 
 #: Seeds tried for each source: eight draws of 32 bits from each of four digests.
 DRAWS = 32
@@ -57,25 +57,42 @@ def _digests() -> list[Column]:
     return [F.sha2(F.concat(F.lit(f"{j}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256) for j in range(DRAWS // 8)]
 
 
+def _with_source(docs: DataFrame, sources: DataFrame, key: str, rows: str) -> DataFrame:
+    """Each row with its source's columns: by broadcast of sources that were counted, of those alone that hold a fixed share of
+    all rows where there are more than ``BROADCAST_ROWS`` (the others by shuffle), so that no source ever fills a task."""
+    there = sources.agg(F.count("*").alias("n"), F.coalesce(F.sum(rows), F.lit(0)).alias("rows")).first()
+    if there.n <= BROADCAST_ROWS:
+        return docs.join(F.broadcast(sources), key)
+    return join_groups(docs, sources, [key], rows, there.rows)
+
+
 def plan(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """key (of the source), source_size, target, whole, part, seed: one row per source of ``sizes`` (doc_id, source, size)."""
+    """key (of the source), rows, source_size, target, whole, part, seed: one row per source of ``sizes`` (doc_id, source, size)."""
     rate = F.col("rate")
-    level = durable(targets(sizes, weights, share, most).select(_key().alias("key"), "source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part")), "targets")
-    rated = join_small(sizes.select("doc_id", "size", _key().alias("key")), level, ["key"], "inner").withColumn("digests", F.array(*_digests()))
+    often = sizes.groupBy(_key().alias("key")).agg(F.count("*").alias("rows"))
+    level = targets(sizes, weights, share, most).select(_key().alias("key"), "source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part"))
+    level = durable(level.join(often, "key"), "targets")
+    rated = _with_source(sizes.select("doc_id", "size", _key().alias("key")), level, "key", "rows").withColumn("digests", F.array(*_digests()))
     draws = [F.conv(F.substring(F.col("digests")[k // 8], 1 + 8 * (k % 8), 8), 16, 10).cast("double") for k in range(DRAWS)]
     below = [F.sum(F.when(draw < F.col("part") * _ONE, F.col("size")).otherwise(0)).alias(f"d{k}") for k, draw in enumerate(draws)]
-    drawn = rated.groupBy("key", "source_size", "target", "whole", "part").agg(*below)
+    drawn = rated.groupBy("key", "rows", "source_size", "target", "whole", "part").agg(*below)
     off = [F.struct(F.abs(F.col("whole") * F.col("source_size") + F.col(f"d{k}") - F.col("target")).alias("off"), F.lit(k).alias("seed")) for k in range(DRAWS)]
-    return durable(drawn.select("key", "source_size", "target", "whole", "part", F.least(*off)["seed"].alias("seed")), "plan")
+    return durable(drawn.select("key", "rows", "source_size", "target", "whole", "part", F.least(*off)["seed"].alias("seed")), "plan")
+
 
+def with_copies(docs: DataFrame, planned: DataFrame, names: tuple[str, str, str] = ("source_size", "target", "copies")) -> DataFrame:
+    """``docs`` (doc_id, source and any other columns) with its source's size and target, and how often the mix takes the row.
 
-def with_copies(docs: DataFrame, planned: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, source and any other columns) with __source_size, __target and __copies, how often the mix takes the row."""
-    named = planned.select("key", *[F.col(c).alias(f"__{c}") for c in planned.columns if c != "key"]).withColumnRenamed("key", "__key")
-    digest = F.element_at(F.array(*_digests()), F.floor(F.col("__seed") / 8).cast("int") + 1)
-    draw = F.conv(digest.substr(1 + 8 * (F.col("__seed") % 8), F.lit(8)), 16, 10).cast("double")
-    joined = join_small(docs.withColumn("__key", _key()), named, ["__key"], "inner")
-    return joined.withColumn("__copies", F.col("__whole") + (draw < F.col("__part") * _ONE).cast("long")).drop("__key", "__whole", "__part", "__seed")
+    """
+    own = {c: unused(docs, f"mix_{c}") for c in planned.columns}
+    keyed = docs.withColumn(own["key"], _key())
+    joined = _with_source(keyed, planned.select(*[F.col(c).alias(n) for c, n in own.items()]), own["key"], own["rows"])
+    seed = F.col(own["seed"])
+    digest = F.element_at(F.array(*_digests()), F.floor(seed / 8).cast("int") + 1)
+    draw = F.conv(digest.substr(1 + 8 * (seed % 8), F.lit(8)), 16, 10).cast("double")
+    copies = F.col(own["whole"]) + (draw < F.col(own["part"]) * _ONE).cast("long")
+    given = [F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*given, F.col(own["source_size"]).alias(names[0]), F.col(own["target"]).alias(names[1]), copies.alias(names[2]))
 
 
 def sizes_of(docs: DataFrame) -> DataFrame:
@@ -85,5 +102,7 @@ def sizes_of(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, with all its columns."""
-    taken = with_copies(docs, plan(sizes_of(docs), weights, share, most))
-    return taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    names = tuple(unused(docs, f"mix_{c}") for c in ("source_size", "target", "copies"))
+    taken = with_copies(docs, plan(sizes_of(docs), weights, share, most), names)
+    again = unused(taken, "again")
+    return taken.withColumn(again, F.explode(F.array_repeat(F.lit(1), F.col(names[2]).cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])

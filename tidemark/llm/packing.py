@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, worker_cache
+from tidemark.llm.common import slices, worker_cache
 
 SCHEMA = "doc_id long, row long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -178,21 +178,18 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, r
         rows: list[int] = []
         coded: list[bytes] = []
         held = 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                ids += part.column(0).to_pylist()
-                rows += part.column(1).to_pylist()
-                new = words.encode(part.column(2).to_pylist())
-                coded += new
-                held += sum(map(len, new)) // 4
-                if held >= run_ids:
-                    out, n = _pieces(ids, rows, coded, end, first, words.ends_sentence, options)
-                    yield out
-                    first, ids, rows, coded, held = first + n, [], [], [], 0
+        for part in slices(batches, 2):
+            ids += part.column(0).to_pylist()
+            rows += part.column(1).to_pylist()
+            new = words.encode(part.column(2).to_pylist())
+            coded += new
+            held += sum(map(len, new)) // 4
+            if held >= run_ids:
+                out, n = _pieces(ids, rows, coded, end, first, words.ends_sentence, options)
+                yield out
+                first, ids, rows, coded, held = first + n, [], [], [], 0
         if ids:
             yield _pieces(ids, rows, coded, end, first, words.ends_sentence, options)[0]
 
-    bounded_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
     return given.mapInArrow(run, SCHEMA)

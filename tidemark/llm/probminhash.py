@@ -17,9 +17,14 @@ Texts with equal shingles are one class from the start.  Within a band's bucket
    bounded size, all other members by signature; the most promising partner in each other component is verified;
 3. all pairs still in different components whose signatures don't exclude the threshold are verified.
 
+A bucket in which very many members stay outside the largest component (texts that share a passage or a header and nothing
+else) is not met in blocks: its members are grouped anew, exactly, by their rarest shingles, see ``rarest``; steps 2 and 3 then
+work on these groups, which such texts don't share.
+
 So every pair of a bucket is either in one component already, or verified, or excluded by its signatures: longer sketches,
 weighted and plain, made for members of buckets only, whose agreements both lie more than 4.5 standard deviations below the
-threshold.  A pair counts in the first band it shares.  No bucket, class or component is ever held by one task, and none capped.
+threshold, or by having none of its rarest shingles in common.  A pair counts in the first band it shares.  No bucket, class or
+component is ever held by one task, and none capped.  The table is numbered and written once, so rows are the same in all passes.
 
 Defined cases: a null or blank text has no shingle, and all such texts are equal; a text of fewer than five words is one
 shingle; the row with the smallest id of a group (null last, then the first row) stays; rows that repeat an id are rows of
@@ -32,10 +37,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, durable, forget, join_groups, join_small, worker_cache
+from tidemark.llm.common import Numbered, bitmaps, durable, join_groups, slices, worker_cache
 
 #: Registers: a prime, so that a step size gives each shingle an order of all registers.
 REGISTERS = 127
@@ -45,6 +50,8 @@ LONG = 509
 SHINGLE = 5
 THRESHOLD = 0.8
 BLOCK = 512
+#: Members outside a bucket's largest component beyond which the bucket is grouped anew.
+CROWD = 4096
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _POLY = np.uint64(0x100000001B3)
@@ -171,42 +178,38 @@ def _bands(who: np.ndarray) -> np.ndarray:
 
 
 def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            part = batch.slice(at, 200)
-            hashes, times, starts = shingles(part.column(2).to_pylist())
-            n = part.num_rows
-            who, plain, again = sketches(hashes, times, starts)
-            key = np.zeros((2, n + 1), np.uint64)
-            for k in range(2):
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes + step(k + 1)) * times.astype(np.uint64))])
-                key[k, :n] = np.diff(sums[starts])
-            some = np.diff(starts) > 0
-            bands = [b.tolist() if s else [] for b, s in zip(_bands(who), some, strict=True)]
-            for i, more in zip(np.flatnonzero(again).tolist(), _bands(plain[again]).tolist(), strict=True):
-                bands[i] += more
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0), part.column(1), pa.array(key[0, :n].view(np.int64)), pa.array(key[1, :n].view(np.int64)),
-                    pa.array(bands, pa.list_(pa.int64())),
-                ],
-                names=["row", "doc_id", "k1", "k2", "bands"],
-            )
+    for part in slices(batches, 2):
+        hashes, times, starts = shingles(part.column(2).to_pylist())
+        n = part.num_rows
+        who, plain, again = sketches(hashes, times, starts)
+        key = np.zeros((2, n + 1), np.uint64)
+        for k in range(2):
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes + step(k + 1)) * times.astype(np.uint64))])
+            key[k, :n] = np.diff(sums[starts])
+        some = np.diff(starts) > 0
+        bands = [b.tolist() if s else [] for b, s in zip(_bands(who), some, strict=True)]
+        for i, more in zip(np.flatnonzero(again).tolist(), _bands(plain[again]).tolist(), strict=True):
+            bands[i] += more
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column(0), part.column(1), pa.array(key[0, :n].view(np.int64)), pa.array(key[1, :n].view(np.int64)),
+                pa.array(bands, pa.list_(pa.int64())),
+            ],
+            names=["row", "doc_id", "k1", "k2", "bands"],
+        )
 
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            part = batch.slice(at, 200)
-            hashes, times, starts = shingles(part.column(1).to_pylist())
-            told, often = [], []
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                told.append(hashes[s:e].tobytes())
-                often.append(b"" if not e - s or times[s:e].max() == 1 else times[s:e].astype("<u4").tobytes())
-            who, plain, again = sketches(hashes, times, starts, LONG)
-            long, bare = ((x & np.uint64(2**16 - 1)).astype("<u2") for x in (who, plain))
-            signed = [x.tobytes() + (y.tobytes() if more else b"") for x, y, more in zip(long, bare, again.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(told, pa.binary()), pa.array(often, pa.binary()), pa.array(signed, pa.binary())], names=["node", "hashes", "times", "signature"])
+    for part in slices(batches, 1):
+        hashes, times, starts = shingles(part.column(1).to_pylist())
+        told, often = [], []
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            told.append(hashes[s:e].tobytes())
+            often.append(b"" if not e - s or times[s:e].max() == 1 else times[s:e].astype("<u4").tobytes())
+        who, plain, again = sketches(hashes, times, starts, LONG)
+        long, bare = ((x & np.uint64(2**16 - 1)).astype("<u2") for x in (who, plain))
+        signed = [x.tobytes() + (y.tobytes() if more else b"") for x, y, more in zip(long, bare, again.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(told, pa.binary()), pa.array(often, pa.binary()), pa.array(signed, pa.binary())], names=["node", "hashes", "times", "signature"])
 
 
 def _times(raw: bytes, n: int) -> np.ndarray:
@@ -281,8 +284,10 @@ def _block(least: int, best_only: bool):
         their_bands = bands[them][:, : len(kinds)]
         a, b, p, agree = [], [], [], []
         for i in mine.tolist():
-            shared = np.concatenate([(their_bands == bands[i, k]).any(1) for k in kinds], axis=1)
-            hit = them[(np.argmax(shared, axis=1) == no[i]) & (part[them] != part[i])]
+            hit = part[them] != part[i]
+            if no[i] >= 0:  # a pair counts in the first band it shares, in every group that no band made
+                hit &= np.argmax(np.concatenate([(their_bands == bands[i, k]).any(1) for k in kinds], axis=1), axis=1) == no[i]
+            hit = them[hit]
             much = np.max([(told[hit, k] == told[i, k]).sum(1) for k in kinds], axis=0)
             hit, much = hit[much >= least], much[much >= least]
             if best_only and len(hit):
@@ -299,16 +304,53 @@ def _block(least: int, best_only: bool):
     return run
 
 
-def _apart(members: DataFrame, labels: DataFrame, signatures: DataFrame, total: int, threshold: float, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of members (band, no, node) of one bucket that lie in different components and whose signatures allow the threshold.
-
-    ``signatures``: node, signature, bands.
-    """
-    rows = members.join(labels, "node", "left").select("band", "no", "node", F.coalesce("part", "node").alias("part"))
+def _split(rows: DataFrame, total: int) -> DataFrame:
+    """``rows`` (band, no, node, part) of groups that lie in several components, with n, main (the largest component) and others."""
     parts = rows.groupBy("band", "part").agg(F.count("*").alias("n"))
     split = parts.groupBy("band").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max(F.struct("n", "part")).alias("most")).where("parts > 1")
     split = split.select("band", "n", F.col("most.part").alias("main"), (F.col("n") - F.col("most.n")).alias("others"))
-    rows = join_groups(rows, durable(split, "split"), ["band"], "n", total)
+    return durable(join_groups(rows, durable(split, "split"), ["band"], "n", total), "apart")
+
+
+def _spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, shingle, weight of each distinct shingle of some nodes."""
+    for batch in batches:
+        for node, hashes, times in zip(*(batch.column(c).to_pylist() for c in ("node", "hashes", "times")), strict=True):
+            own = np.frombuffer(hashes, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own), pa.array(weights(_times(times, len(own)).astype(float)))], names=["node", "shingle", "weight"])
+
+
+def rarest(nodes: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
+    """band, node: the shingles of each of ``nodes`` without which no text can be similar to it, its rarest ones.
+
+    In the order of frequency (any one order of all shingles would do), the most frequent shingles that together have less
+    than the threshold's share of a text's weight, and of its number, don't make a similarity alone: by either definition the
+    similarity of two texts is at most the share that their common shingles have of one of them.  So two similar texts have
+    one of the other shingles in common.  Shingles of one text are no group and go at once.
+    """
+    rows = durable(features.join(nodes, "node", "left_semi").select("node", "hashes", "times").mapInArrow(_spread, "node long, shingle long, weight double"), "shingles")
+    often = durable(rows.groupBy("shingle").agg(F.count("*").alias("often")), "often")
+    known = join_groups(rows, often, ["shingle"], "often", rows.count())
+    own = Window.partitionBy("node")
+    order = own.orderBy(F.col("often").desc(), "shingle").rowsBetween(Window.unboundedPreceding, 0)
+    told = known.withColumn("mass", F.sum("weight").over(order) / F.sum("weight").over(own)).withColumn("share", F.count("*").over(order) / F.count("*").over(own))
+    # a little slack for sums that were rounded
+    return told.where((F.col("often") > 1) & (F.greatest("mass", "share") >= threshold - 1e-9)).select(F.col("shingle").alias("band"), "node")
+
+
+def _apart(members: DataFrame, labels: DataFrame, signatures: DataFrame, features: DataFrame, total: int, threshold: float, best_only: bool) -> DataFrame:
+    """Pairs (a, b) of members (band, no, node) of one bucket that lie in different components and whose signatures allow the threshold.
+
+    ``signatures``: node, signature, bands.  Where more than ``CROWD`` members lie outside a bucket's largest component, the
+    bucket's members are grouped anew by their rarest shingles: texts that only share a passage part there.
+    """
+    rows = _split(members.join(labels, "node", "left").select("band", "no", "node", F.coalesce("part", "node").alias("part")), total)
+    crowd = rows.where(F.col("others") > CROWD).select("node", "part").distinct()
+    if crowd.limit(1).count():
+        crowd = durable(crowd, "crowd")
+        anew = durable(rarest(crowd.select("node"), features, threshold).join(crowd, "node"), "rarest")
+        anew = _split(anew.select("band", F.lit(-1).alias("no"), "node", "part"), anew.count())
+        rows = rows.where(F.col("others") <= CROWD).unionByName(anew)
     rows = durable(rows.join(signatures, "node"), "apart")
     own = F.pmod(F.hash("node"), F.ceil(F.col("n") / BLOCK).cast("int"))
     other = F.pmod(F.hash("node"), F.ceil(F.col("others") / BLOCK).cast("int"))
@@ -317,7 +359,7 @@ def _apart(members: DataFrame, labels: DataFrame, signatures: DataFrame, total:
     inside = rows.select(*value, F.lit(False).alias("outside"), own.alias("x"), every("others").alias("y"))
     outside = rows.where(F.col("part") != F.col("main")).select(*value, F.lit(True).alias("outside"), every("n").alias("x"), other.alias("y"))
     least = int(threshold * LONG - 4.5 * (threshold * (1 - threshold) * LONG) ** 0.5)
-    found = inside.unionByName(outside).groupBy("band", "x", "y").applyInArrow(_block(least, best_only), "a long, b long, part long, agree long")
+    found = inside.unionByName(outside).groupBy("band", "x", "y", F.col("no") < 0).applyInArrow(_block(least, best_only), "a long, b long, part long, agree long")
     if best_only:
         found = found.groupBy("a", "part").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -325,8 +367,17 @@ def _apart(members: DataFrame, labels: DataFrame, signatures: DataFrame, total:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): row, doc_id, group_id (the smallest doc_id of its group), group_size, kept."""
-    bounded_batches(docs.sparkSession)
-    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _near(Numbered(docs.select("doc_id", "text")), threshold)
+
+
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, all its columns kept."""
+    held = Numbered(docs)
+    return held.without(_near(held, threshold).where(~F.col("kept")))
+
+
+def _near(docs: Numbered, threshold: float) -> DataFrame:
+    given = docs.table.select(F.col(docs.row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = durable(given.mapInArrow(_sketched, "row long, doc_id long, k1 long, k2 long, bands array<long>"), "sketches")
     total = sketched.count()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
@@ -339,16 +390,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.max(F.struct(F.col("copies"), (-F.col("node")).alias("node"))).alias("lead")).where("n > 1")
     buckets = durable(buckets.select("band", "n", (-F.col("lead.node")).alias("leader")), "buckets")
     members = durable(join_groups(banded.select("band", "no", "node"), buckets, ["band"], "n", total), "members")
-    wanted = members.select(F.col("node").alias("row")).distinct()
-    met = join_small(given.select("row", "text"), wanted, ["row"], "left_semi", rows=1_000_000)
-    features = durable(met.select("row", "text").mapInArrow(_features, "node long, hashes binary, times binary, signature binary"), "features")
+    # texts of members are read where they lie: a bitmap of their rows goes to each part
+    met = docs.chosen(durable(bitmaps(members.select("node").distinct(), "node"), "met"))
+    features = durable(met.select(F.col(docs.row).alias("node"), F.col("text").cast("string")).mapInArrow(_features, "node long, hashes binary, times binary, signature binary"), "features")
     signatures = features.select("node", "signature").join(classes.select("node", "bands"), "node")
 
     pairs = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = durable(verify(pairs, features, threshold), "verified")
     labels = components(links)
     for best_only in (True, False):
-        pairs = durable(_apart(members.select("band", "no", "node"), labels, signatures, total, threshold, best_only), "pairs")
+        pairs = durable(_apart(members.select("band", "no", "node"), labels, signatures, features, total, threshold, best_only), "pairs")
         new = durable(verify(pairs, features, threshold), "verified")
         if new.limit(1).count():
             links = links.unionByName(new)
@@ -361,11 +412,4 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     groups = durable(groups.select("part", F.col("first.doc_id").alias("group_id"), F.col("first.row").alias("keep_row"), "group_size", "classes"), "groups")
     known = durable(join_groups(linked.select("k1", "k2", "copies", "part"), groups, ["part"], "classes", total).select("k1", "k2", "copies", "group_id", "keep_row", "group_size"), "known")
     out = join_groups(sketched.select("row", "doc_id", "k1", "k2"), known, ["k1", "k2"], "copies", total)
-    forget(features, members, buckets, linked, groups)
     return out.select("row", "doc_id", "group_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
-
-
-def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates, all its columns kept."""
-    gone = near_duplicates(docs, threshold).where("not kept").select(F.col("row").alias("__row"))
-    return join_small(docs.withColumn("__row", F.monotonically_increasing_id()), durable(gone, "gone"), ["__row"], "left_anti", rows=1_000_000).select(*docs.columns)

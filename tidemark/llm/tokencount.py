@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, worker_cache
+from tidemark.llm.common import slices, worker_cache
 
 _SPACE = " \t-\r"
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -215,6 +215,5 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
                     tables.append(packed(np.fromiter(map(len, pieces), np.int64, len(pieces)), np.array(counts, np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(totals, pa.int64()), pa.array(tables, pa.binary())], names=["doc_id", "n_bytes", "n_tokens", "prefix_table"])
 
-    bounded_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return given.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, prefix_table binary")
