@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns a DataFrame; ``run`` writes each
 result as Parquet into the shared folder and rereads it as the next stage's documents.
+
+Defined cases: null, blank and very long texts, ties, repeated rows and clashing columns are what each operator's module says;
+all stages but the last return every column of the documents, of any name; a table without rows gives one without rows; without
+labels nothing is rejected.  A document taken twice by the mix is packed twice, told apart by ``row``.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exactdedup, mixing, packing, probminhash, quality
-from tidemark.llm.common import durable, read
+from tidemark.llm.common import read, tidy
 from tidemark.llm.queries import tokenizer_path
 
 
@@ -53,7 +57,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over the documents."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir), "stage")
+        with tidy(spark) as keep:  # the stage's scratch tables go, its result stays
+            docs = keep(stage(spark, docs, sf_dir), "stage")
     return docs
 
 
