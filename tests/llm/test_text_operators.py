@@ -387,8 +387,7 @@ def library(path):
 
 
 def told(counter, text):
-    pieces, counts = counter.table(text)
-    return tokencount.Prefixes(text, tokencount.packed(np.array([len(p) for p in pieces], np.int64), np.array(counts, np.int64)), counter)
+    return tokencount.Prefixes(tokencount.packed(counter.tables([text])[0]))
 
 
 @given(st.text(alphabet="abtheing AEé'srelvd.!\n\t 10²日😀", max_size=40))
@@ -401,13 +400,25 @@ def test_every_prefix(counter, library, text):
         assert p.cut(budget) == max(i for i, n in enumerate(exact) if n <= budget)
 
 
-@pytest.mark.parametrize("text", ["it's we'll 're", "  lead", "a" * 300, "x<|endoftext|>y <|endoftext|>", "-" * 300 + "=" * 80, "naïve café — “quoted”"])
+@pytest.mark.parametrize("text", ["it's we'll 're", "  lead", "a" * 300, "x<|endoftext|>y <|endoftext|>", "-" * 300 + "=" * 80, "naïve café — “quoted”", "a \n\n b\n\n\nc  d\t\te", "!!  <|endoftext|>  <|endoftext|>'ll", "x\u00a0\u2003 y", ""])
 def test_prefixes_of_odd_texts(counter, library, text):
     p = told(counter, text)
     for i in range(0, len(text) + 1):
         assert p.at(i) == len(library.encode(text[:i], add_special_tokens=False).ids)
 
 
+def test_budgets_are_answered_from_the_table_alone(spark, docs, path, library):
+    out = tokencount.count_tokens(docs, path("byte_bpe_50k.json")).withColumn("fits", tokencount.fitting(F.col("prefix_table"), 7)).select("doc_id", "fits").collect()
+    want = [(str(i), max(k for k in range(min(80, len(t or "")) + 1) if len(library.encode((t or "")[:k], add_special_tokens=False).ids) <= 7)) for i, t in ROWS]
+    assert sorted((str(r["doc_id"]), r["fits"]) for r in out) == sorted(want)
+
+
+@given(st.lists(st.integers(-300, 300), max_size=30))
+@settings(max_examples=50, deadline=None)
+def test_tables_round_trip(steps):
+    assert tokencount.unpacked(tokencount.packed(np.array(steps, np.int32))).tolist() == steps
+
+
 # -- the pipeline
 
 

@@ -8,6 +8,7 @@ column of the result, and conversations out of order are formatted all the same.
 
 Defined cases: a null text or role counts as empty; turns are ordered by turn (null first), then role, then text, so
 repeated rows and ties are all kept; a null conversation id is a conversation of its own; an empty table gives an empty result.
+A conversation is one row of the result, so its turns meet in one task and its formatted text is one value: at most 2 GB.
 """
 
 from __future__ import annotations

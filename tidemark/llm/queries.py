@@ -56,17 +56,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokencount.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), tokencount.fitting(F.col("prefix_table"), 512).alias("fitting_chars"))
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, RULES))} AS t(verdict, host, path)")
     return urlfilter.judge(read(spark, sf_dir, "pages"), rules)
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql(f"SELECT CAST(conv_id AS LONG) AS conv_id, CAST(turn AS LONG) AS turn, role, text FROM VALUES (-1, 0, 'user', '{said}'), (-1, 1, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     out = chatformat.format_chats(rows).withColumn("turns", chatformat.read_back(F.col("formatted"))).withColumn("learnt", F.concat_ws("", chatformat.loss_texts(F.col("segments"))))
     told = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
@@ -77,6 +77,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("learnt").cast("long").alias("loss_chars"),
         F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        "first_bad",
     )
 
 
@@ -111,13 +113,15 @@ SELECT u.page_id, u.host, u.path, m.rule, coalesce(m.v, 'allow') AS verdict FROM
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 e AS (SELECT *, {_ESC} AS esc FROM c),
-a AS (SELECT conv_id, count(*) AS n_turns,
+o AS (SELECT *, row_number() OVER w - 1 AS at, lag(role) OVER w AS before FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+g AS (SELECT *, NOT coalesce(CASE WHEN at = 0 THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user' WHEN before = 'user' THEN role = 'assistant' END, false) AS bad FROM o),
+a AS (SELECT conv_id, count(*) AS n_turns, CAST(min(CASE WHEN bad THEN at END) AS INTEGER) AS first_bad, arg_max(role, at) AS final,
     string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS told,
     coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt,
     sum(length(esc) + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 ELSE 14 + length(role) END) + 3 AS formatted_chars
-  FROM e GROUP BY conv_id)
+  FROM g GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(told) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars, sha256(learnt) AS loss_sha256,
-  CAST(formatted_chars AS BIGINT) AS formatted_chars FROM a""",
+  CAST(formatted_chars AS BIGINT) AS formatted_chars, first_bad IS NULL AND final = 'assistant' AS valid, first_bad FROM a""",
     "op5_mixing": r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),

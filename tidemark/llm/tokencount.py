@@ -3,11 +3,17 @@
 Within a piece of text that the tokenizer's pattern keeps together, byte-pair encoding has this property: of the tokens
 that end at byte i, exactly one can follow the last token of the encoding of what comes before it, namely the one for which
 no merge would have crossed the boundary.  So count[i] = count[i - len(t)] + 1 and last[i] = t: one pass gives the counts
-of all prefixes of the piece, and sums over pieces give those of the text.  The table of a text (lengths and counts of its
-pieces) answers budget and truncation questions without encoding anything again: see ``Prefixes``.
+of all prefixes of the piece, and sums over pieces give those of the text.
 
-Defined cases: a null or empty text has 0 bytes and 0 tokens; the special strings of the tokenizer inside texts count as
-one token each, the library's default; repeated rows each give a row; an empty table gives an empty result.
+The table of a text holds the count at every prefix, as steps from one character to the next (two bits each; the rare steps
+other than 0, 1 and -1 follow), and ``Prefixes`` answers budget and truncation questions from it alone: neither the text nor
+the tokenizer is needed again.  Where a prefix is split otherwise than the text, its count is mended when the table is made:
+at the end of a run of blanks (alone it is one piece, before a word its last blank belongs to the word), inside unfinished
+contractions, and inside special strings.
+
+Defined cases: a null or empty text has 0 bytes and 0 tokens; the special strings of the tokenizer inside texts (none of which
+contains another) count as one token each, the library's default; repeated rows each give a row; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -16,8 +22,9 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, worker_cache
@@ -26,8 +33,12 @@ _SPACE = " \t-\r"
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Texts of these characters only do without the general classes of characters.
 _PLAIN = re.compile("[^\t-\r -~À-ÿ]")
+_RUNS = re.compile(f"[{_SPACE}]{{2,}}(?=[^{_SPACE}])")
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^{_SPACE}{_LETTER}0-9]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
+#: Contractions of two letters: 'r, 'v and 'l alone are two pieces.
+_LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
+
 
 def _bytes_of_marks() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, the others from 256 on."""
@@ -63,7 +74,8 @@ class Counter:
         self.spine_right: dict[int, list[tuple[int, float]]] = {}
         self.spine_left: dict[int, list[tuple[int, float]]] = {}
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, int] = {}
+        self.general_runs = regex.compile(r"\p{White_Space}{2,}(?=\P{White_Space})")
+        self.known: dict[str, bytes] = {}
         self.most = most
         # a token that merges can't build never stands in an encoding
         for word, i in list(self.ids.items()):
@@ -119,82 +131,109 @@ class Counter:
                 raise ValueError(f"no token ends at byte {i}")
         return count
 
-    def count(self, piece: str) -> int:
-        n = self.known.get(piece)
-        if n is None:
+    def steps(self, piece: str) -> bytes:
+        """From each of the piece's prefixes to the one longer by a character: how many tokens more, 16 bits each."""
+        found = self.known.get(piece)
+        if found is None:
+            raw = piece.encode()
+            counts = self.prefixes(raw)
+            if len(raw) != len(piece):
+                counts = [c for c, b in zip(counts, [*raw, 0], strict=True) if b & 0xC0 != 0x80]
+            if piece in _LONG_CONTRACTIONS:  # without its last letter none of them is a piece
+                counts[2] = 1 + self.prefixes(raw[1:2])[-1]
+            found = np.diff(counts).astype("<i2").tobytes()
             if len(self.known) >= self.most:
                 self.known.clear()
-            n = self.prefixes(piece.encode())[-1]
             if len(piece) <= 64:
-                self.known[piece] = n
-        return n
-
-    def pieces(self, text: str) -> list[str]:
-        return self.general.findall(text) if _PLAIN.search(text) else _PIECES.findall(text)
-
-    def table(self, text: str | None) -> tuple[list[str], list[int]]:
-        """The pieces of a text and their token counts; a special string is a piece of one token."""
-        if not text:
-            return [], []
-        if self.special is None or not self.special.search(text):
-            pieces = self.pieces(text)
-            try:
-                return pieces, list(map(self.known.__getitem__, pieces))
-            except KeyError:
-                return pieces, list(map(self.count, pieces))
-        pieces, counts, at = [], [], 0
-        for m in [*self.special.finditer(text), None]:
-            own = self.pieces(text[at : m.start() if m else len(text)])
-            pieces += own
-            counts += map(self.count, own)
-            if m:
-                pieces.append(m[0])
-                counts.append(1)
-                at = m.end()
-        return pieces, counts
+                self.known[piece] = found
+        return found
+
+    def count(self, piece: str) -> int:
+        return int(np.frombuffer(self.steps(piece), "<i2").sum())
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """The steps of each text, special strings taken as any others."""
+        simple = [not _PLAIN.search(t) for t in texts]
+        pieces: list[str] = []
+        for text, plain in zip(texts, simple, strict=True):
+            pieces += _PIECES.findall(text) if plain else self.general.findall(text)
+        try:
+            raw = b"".join(map(self.known.__getitem__, pieces))
+        except KeyError:
+            raw = b"".join(map(self.steps, pieces))
+        flat, at, out = np.frombuffer(raw, "<i2").astype(np.int32), 0, []
+        for text, plain in zip(texts, simple, strict=True):
+            own = flat[at : at + len(text)]
+            for m in (_RUNS if plain else self.general_runs).finditer(text):
+                run = m[0]
+                more = self.count(run) - self.count(run[:-1]) - self.count(run[-1])
+                own[m.end() - 1] += more
+                own[m.end()] -= more
+            out.append(own)
+            at += len(text)
+        return out
+
+    def tables(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The steps of each text, one for each character; all counts follow by summing up."""
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
+        marked = [bool(t and self.special and self.special.search(t)) for t in texts]
+        plain = [i for i, t in enumerate(texts) if t and not marked[i]]
+        for i, own in zip(plain, self._plain([texts[i] for i in plain]), strict=True):
+            out[i] = own
+        for i in np.flatnonzero(marked).tolist():
+            out[i] = self._with_special(texts[i])
+        return out
+
+    def _with_special(self, text: str) -> np.ndarray:
+        steps, at = [], 0
+        for m in self.special.finditer(text):
+            # inside the special string a prefix holds but its beginning, as any other characters
+            (before, unfinished) = self._plain([text[at : m.start()], text[at : m.end() - 1]])
+            upto = np.concatenate([np.cumsum(before), np.cumsum(unfinished)[len(before) :], [before.sum() + 1]])
+            steps.append(np.diff(upto, prepend=0))
+            at = m.end()
+        return np.concatenate([*steps, *self._plain([text[at:]])]).astype(np.int32)
+
+
+def packed(steps: np.ndarray) -> bytes:
+    """Number of steps (32 bits), two bits for each (0, 1, 3: -1, 2: another one), then the other ones (16 bits each)."""
+    common = (steps >= -1) & (steps <= 1)
+    code = np.where(common, steps & 3, 2).astype(np.uint8)
+    code = np.concatenate([code, np.zeros(-len(code) % 4, np.uint8)]).reshape(-1, 4)
+    return len(steps).to_bytes(4, "little") + (code[:, 0] | code[:, 1] << 2 | code[:, 2] << 4 | code[:, 3] << 6).tobytes() + steps[~common].astype("<i2").tobytes()
+
+
+def unpacked(table: bytes) -> np.ndarray:
+    n = int.from_bytes(table[:4], "little")
+    four = np.frombuffer(table, np.uint8, -(-n // 4), 4)
+    code = ((four[:, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3).ravel()[:n]
+    steps = np.array([0, 1, 0, -1], np.int32)[code]
+    steps[code == 2] = np.frombuffer(table, "<i2", offset=4 + len(four))
+    return steps
 
 
 class Prefixes:
-    """Answers for one text from its table: ``at(i)`` tokens in text[:i]; ``cut(budget)`` the longest prefix within a budget."""
+    """Answers for one text from its table: ``at(i)`` tokens in the first i characters; ``cut(budget)`` the length of the longest
+    prefix of at most ``budget`` tokens."""
 
-    def __init__(self, text: str, table: bytes, counter: Counter):
-        self.text, self.counter = text, counter
-        lengths, counts = unpack(table)
-        self.stops, self.sums = np.concatenate([[0], np.cumsum(lengths)]), np.concatenate([[0], np.cumsum(counts)])
+    def __init__(self, table: bytes):
+        self.counts = np.concatenate([[0], np.cumsum(unpacked(table))])
 
     def at(self, i: int) -> int:
-        if i >= len(self.text):
-            return int(self.sums[-1])
-        k = int(np.searchsorted(self.stops, i, side="right")) - 1  # pieces that end at i or before
-        start = int(self.stops[k])
-        if i == start and (i == 0 or not self.text[i - 1].isspace()):
-            return int(self.sums[k])
-        # the pattern may split the end of a prefix otherwise than the text: blanks and unfinished contractions or special strings
-        while k and (i == self.stops[k] or self.text[int(self.stops[k]) - 1].isspace()):
-            k -= 1
-        tail = self.text[int(self.stops[k]) : i]
-        return int(self.sums[k]) + sum(self.counter.table(tail)[1])
+        return int(self.counts[min(i, len(self.counts) - 1)])
 
     def cut(self, budget: int) -> int:
-        """The length of the longest prefix of at most ``budget`` tokens."""
-        k = int(np.searchsorted(self.sums, budget, side="right")) - 1
-        found = int(self.stops[k])
-        for i in range(found + 1, int(self.stops[min(k + 3, len(self.stops) - 1)]) + 1):
-            if self.at(i) <= budget:
-                found = i
-        return found
+        return int(np.flatnonzero(self.counts <= budget)[-1])
 
 
-def packed(lengths: np.ndarray, counts: np.ndarray) -> bytes:
-    """One byte each where all fit, else four: a leading byte says which."""
-    narrow = not len(lengths) or max(int(lengths.max()), int(counts.max())) < 256
-    kind = np.uint8 if narrow else np.dtype("<u4")
-    return bytes([1 if narrow else 4]) + lengths.astype(kind).tobytes() + counts.astype(kind).tobytes()
+def fitting(table: Column, budget: int) -> Column:
+    """The number of characters of the longest prefix within ``budget`` tokens, from a text's table."""
 
+    @F.pandas_udf("long")
+    def cut(tables: pd.Series) -> pd.Series:
+        return pd.Series([Prefixes(t).cut(budget) for t in tables], dtype="int64")
 
-def unpack(table: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(table, np.uint8 if table[0] == 1 else "<u4", offset=1).astype(np.int64)
-    return both[: len(both) // 2], both[len(both) // 2 :]
+    return cut(table)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -205,15 +244,10 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = worker_cache(f"counts of {tokenizer}", lambda: Counter(tokenizer))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                totals, tables = [], []
-                for text in part.column(1).to_pylist():
-                    pieces, counts = counter.table(text)
-                    totals.append(sum(counts))
-                    tables.append(packed(np.fromiter(map(len, pieces), np.int64, len(pieces)), np.array(counts, np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(totals, pa.int64()), pa.array(tables, pa.binary())], names=["doc_id", "n_bytes", "n_tokens", "prefix_table"])
+        for part in slices(batches, 1):
+            steps = counter.tables(part.column(1).to_pylist())
+            totals = [int(x.sum()) for x in steps]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(totals, pa.int64()), pa.array(list(map(packed, steps)), pa.binary())], names=["doc_id", "n_bytes", "n_tokens", "prefix_table"])
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return given.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, prefix_table binary")
