@@ -5,7 +5,6 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
-from random import Random
 
 
 def fisher_exact(agree: int, total: int, other_agree: int, other_total: int) -> float:
@@ -13,66 +12,45 @@ def fisher_exact(agree: int, total: int, other_agree: int, other_total: int) ->
     if total == 0 or other_total == 0:
         return 1.0
     hits, everyone = agree + other_agree, total + other_total
-    ways = [math.comb(hits, k) * math.comb(everyone - hits, total - k) for k in range(min(hits, total) + 1)]
-    seen = ways[agree]
-    # counts are integers: the tolerance only stands in for rounded probabilities
-    return min(1.0, sum(w for w in ways if w * 10**7 <= seen * (10**7 + 1)) / math.comb(everyone, total))
+    most, few = min(hits, total), max(0, hits + total - everyone)
+    ln = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    likely = [ln(hits, k) + ln(everyone - hits, total - k) - ln(everyone, total) for k in range(few, most + 1)]
+    # what ties with the table seen must not depend on rounding
+    return min(1.0, math.fsum(math.exp(x) for x in likely if x <= likely[agree - few] + 1e-7))
 
 
-def sign_flip(differences: Sequence[float], seed: str = "", exact_up_to: int = 12, rounds: int = 10_000) -> tuple[float, float]:
-    """One-sided p-values of the sum's being this low, and this high, when every sign is a coin's: exact for few differences, else by draws."""
-    if not differences:
+def sign_flip(differences: Sequence[float], seed: int = 0, exact_up_to: int = 12, rounds: int = 10_000) -> tuple[float, float]:
+    """One-sided p-values of the sum's being this low, and this high, when every sign is a coin's: over all assignments of signs
+    for few differences, else over that many drawn ones besides the assignment seen."""
+    import numpy as np
+
+    size = np.abs(np.asarray(differences, float))
+    if not len(size):
         return 1.0, 1.0
-    seen = sum(differences)
-    slack = 1e-12 * (1 + sum(map(abs, differences)))
-    if len(differences) <= exact_up_to:
-        sums = [0.0]
-        for d in differences:
-            sums = [s + x for s in sums for x in (abs(d), -abs(d))]
-        return sum(s <= seen + slack for s in sums) / len(sums), sum(s >= seen - slack for s in sums) / len(sums)
-    rng = Random(seed)
-    low = high = 1
-    for _ in range(rounds):
-        s = math.fsum(abs(d) if rng.random() < 0.5 else -abs(d) for d in differences)
-        low += s <= seen + slack
-        high += s >= seen - slack
-    return low / (rounds + 1), high / (rounds + 1)
+    if len(size) <= exact_up_to:
+        heads = np.arange(2 ** len(size))[:, None] >> np.arange(len(size)) & 1
+    else:
+        drawn = np.random.default_rng(seed).integers(0, 2, (rounds, len(size)))
+        heads = np.concatenate([np.asarray(differences)[None] > 0, drawn])
+    # twice the positive part less all: what ties with the sum seen must not depend on rounding
+    gain, seen = heads @ size, size[np.asarray(differences) > 0].sum()
+    close = 1e-9 * size.sum()
+    return float((gain <= seen + close).mean()), float((gain >= seen - close).mean())
 
 
 def holm(p: Sequence[float]) -> list[float]:
     """Step-down adjusted p-values, in the order given."""
-    order = sorted(range(len(p)), key=lambda i: (p[i], i))
-    stepped = itertools.accumulate((min(1.0, (len(p) - k) * p[i]) for k, i in enumerate(order)), max)
-    out = dict(zip(order, stepped, strict=True))
-    return [out[i] for i in range(len(p))]
-
-
-def merged_regions(pairs: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
-    """Unions of overlapping or touching intervals, ascending."""
-    out: list[tuple[float, float]] = []
-    for low, high in sorted(pairs):
-        if out and low <= out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], high)
-        else:
-            out.append((low, high))
-    return out
-
-
-def bootstrap_interval(values: Sequence[float], seed: int, rounds: int = 1000, level: float = 0.95) -> tuple[float, float]:
-    """Percentile interval of the mean under resampling."""
     import numpy as np
 
-    x = np.asarray(values, float)
-    if not len(x):
-        return float("nan"), float("nan")
-    means = x[np.random.default_rng(seed).integers(0, len(x), (rounds, len(x)))].mean(1)
-    return tuple(float(v) for v in np.quantile(means, [(1 - level) / 2, (1 + level) / 2]))
+    p = np.asarray(p, float)
+    place = np.argsort(np.argsort(p, kind="stable"), kind="stable")
+    scaled = np.sort(p) * np.arange(len(p), 0, -1)
+    return np.minimum(1.0, np.maximum.accumulate(scaled))[place].tolist() if len(p) else []
 
 
-def even_spread(n: int, count: int) -> list[int]:
-    """``count`` positions spread evenly over n, both ends included; the last one alone if one is asked for."""
-    if count <= 0 or n <= count:
-        return list(range(n))
-    if count == 1:
-        return [n - 1]
-    return sorted({round(k * (n - 1) / (count - 1)) for k in range(count)})
+def merged_regions(pairs: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Unions of overlapping or touching intervals, ascending: a union ends where as many have ended as begun."""
+    marks = sorted([(low, 0) for low, _ in pairs] + [(high, 1) for _, high in pairs])
+    depth = list(itertools.accumulate(1 - 2 * end for _, end in marks))
+    ends = [k for k, d in enumerate(depth) if d == 0]
+    return [(marks[first][0], marks[last][0]) for first, last in zip([0, *(k + 1 for k in ends)], ends, strict=False)]

@@ -21,7 +21,7 @@ class View:
     parameters: dict[str, type] = field(default_factory=dict)
 
 
-#: load_log(path, table, symbol, period, rows, rejected, run, loaded_at), facts, days, results(run_id, checked_at, check, outcome, drill), backtests(run_id, at, metrics map)
+#: load_log(path, table, symbol, period, rows, rejected, run, loaded_at, rules map), facts, days, comparisons, registry, stored(key, result, at), history(client, pruned_files, read_files, workload, seconds), results(run_id, checked_at, check, outcome, drill), backtests(run_id, at, metrics map)
 VIEWS = {
     "coverage": View(
         """SELECT `table`, symbol, min(period) AS first_period, max(period) AS last_period, count(DISTINCT period) AS periods, sum(rows) AS rows, max(loaded_at) AS last_loaded
@@ -62,6 +62,26 @@ VIEWS = {
         """SELECT entity, max(value) FILTER (WHERE feature = :feature) AS of_feature, max(value) FILTER (WHERE feature <> :feature) AS of_others, count(*) AS facts FROM facts WHERE knowable_at <= :as_of GROUP BY entity""",
         {"feature": str, "as_of": object},
     ),
+    "snapshot": View(
+        """SELECT entity, feature, max_by(value, struct(event_time, knowable_at)) AS value, max_by(event_time, struct(event_time, knowable_at)) AS event_time, max_by(knowable_at, struct(event_time, knowable_at)) AS knowable_at
+        FROM facts WHERE entity IN (:entity, :shared) AND knowable_at <= :as_of GROUP BY entity, feature""",
+        {"entity": str, "shared": str, "as_of": object},
+    ),
+    "latest_checks": View("""SELECT run_id, check, outcome, drill FROM results WHERE checked_at = (SELECT max(checked_at) FROM results)"""),
+    "latest_comparisons": View(
+        """SELECT left_venue, right_venue, day, agreed, differing FROM (SELECT *, row_number() OVER (PARTITION BY left_venue, right_venue, day ORDER BY compared_at DESC, run_id DESC) AS n FROM comparisons) WHERE n = 1"""
+    ),
+    "registry": View("""SELECT source, table, entity FROM registry"""),
+    "reusable": View("""SELECT key, result, at FROM stored WHERE array_contains(:keys, key) ORDER BY at, key""", {"keys": list}),
+    "cost_by_workload": View("""SELECT workload, sum(seconds) AS seconds, count(*) AS queries FROM history GROUP BY workload"""),
+    "rejects_by_rule": View("""SELECT rule, sum(n) AS rejected FROM (SELECT explode(rules) AS (rule, n) FROM load_log) GROUP BY rule HAVING sum(n) > 0"""),
+    "stale_tables": View("""SELECT `table`, max(loaded_at) AS last_loaded FROM load_log GROUP BY `table` HAVING max(loaded_at) < timestampadd(DAY, -:days, :as_of)""", {"days": int, "as_of": object}),
+    "rows_per_day": View("""SELECT to_date(loaded_at) AS day, sum(rows) AS rows FROM load_log GROUP BY 1"""),
+    "waived_failures": View("""SELECT run_id, check, count(*) AS n FROM results WHERE outcome = 'failed' AND drill GROUP BY ALL"""),
+    "top_sharpe": View("""SELECT run_id, at, element_at(metrics, 'sharpe') AS sharpe FROM backtests ORDER BY sharpe DESC NULLS LAST, run_id LIMIT :most""", {"most": int}),
+    "first_reports": View(
+        """SELECT entity, feature, event_time, min_by(value, struct(knowable_at, value)) AS value, min(knowable_at) AS first_known FROM facts WHERE knowable_at <= :as_of GROUP BY ALL""", {"as_of": object}
+    ),
     "top_differences": View(
         """SELECT a.session_date, CAST(a.close - b.close AS DOUBLE) AS difference FROM days a JOIN days b ON a.session_date = b.session_date AND a.symbol = :left AND b.symbol = :right
         ORDER BY abs(a.close - b.close) DESC, a.session_date LIMIT :most""",
