@@ -113,9 +113,9 @@ SELECT u.page_id, u.host, u.path, m.rule, coalesce(m.v, 'allow') AS verdict FROM
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 e AS (SELECT *, {_ESC} AS esc FROM c),
-o AS (SELECT *, row_number() OVER w - 1 AS at, lag(role) OVER w AS before FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-g AS (SELECT *, NOT coalesce(CASE WHEN at = 0 THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user' WHEN before = 'user' THEN role = 'assistant' END, false) AS bad FROM o),
-a AS (SELECT conv_id, count(*) AS n_turns, CAST(min(CASE WHEN bad THEN at END) AS INTEGER) AS first_bad, arg_max(role, at) AS final,
+o AS (SELECT *, row_number() OVER w - 1 AS pos, lag(role) OVER w AS before FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+g AS (SELECT *, NOT coalesce(CASE WHEN pos = 0 THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user' WHEN before = 'user' THEN role = 'assistant' END, false) AS bad FROM o),
+a AS (SELECT conv_id, count(*) AS n_turns, CAST(min(CASE WHEN bad THEN pos END) AS INTEGER) AS first_bad, arg_max(role, pos) AS final,
     string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS told,
     coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt,
     sum(length(esc) + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 ELSE 14 + length(role) END) + 3 AS formatted_chars
