@@ -97,31 +97,98 @@ def test_base_scores(docs, top):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9)
 
 
+def plain_contexts(words, unit):
+    """(unit before, remembered mark) of each of a text's tokens."""
+    out = []
+    for i in range(len(words)):
+        marked = [lblm.word_mark(v) for v in words[max(0, i - lblm.MEMORY) : i] if lblm.word_mark(v) > lblm.PLAIN]
+        out.append((unit(words[i - 1]) if i else 0, marked[-1] if marked else lblm.word_mark(words[i - 2]) if i > 1 else 0))
+    return out
+
+
 def test_contexts():
     texts = [b"the caf\xc3\xa9 of a man was open late and so on we went up to it in the end at last here now", b"", b"x", b"no marks here at all"]
     flat, sizes = lblm._tokens(texts)
-    want = []
-    for t in texts:
-        words = [*t.split(), b""]
-        for i, w in enumerate(words):
-            last = lblm.word_class(words[i - 1]) if i else 0
-            marked = [lblm.word_mark(v) for v in words[max(0, i - lblm.MEMORY) : i] if lblm.word_mark(v) > lblm.PLAIN]
-            second = marked[-1] if marked else lblm.word_mark(words[i - 2]) if i > 1 else 0
-            want.append((second * lblm.CLASSES + last) * lblm.CLASSES + lblm.word_class(w))
-    classes, marks = (np.array([f(w) for w in flat]) for f in (lblm.word_class, lblm.word_mark))
-    assert lblm._trigrams(classes, marks, sizes).tolist() == want
-
-
-def test_scores_are_normalised():
-    rng = np.random.default_rng(0)
-    cells = rng.poisson(0.05, (lblm.CONTEXTS, lblm.CLASSES)).astype(float)
-    table = lblm.train(cells, steps=20)
-    assert np.allclose((10**table).sum(1), 1)
+    lexicon = lblm.Lexicon([b"the", b"of"], 1)
+    numbers = lexicon.numbers(flat)
+    units, marks = lexicon.units[numbers].astype(np.int64), lexicon.marks[numbers]
+    unit = lambda w: lblm.CLASSES if w == b"the" else lblm.word_class(w)
+    assert units.tolist() == [unit(w) for w in flat]
+    assert list(zip(*(x.tolist() for x in lblm.contexts(units, marks, sizes)), strict=True)) == [c for t in texts for c in plain_contexts([*t.split(), b""], unit)]
+
+
+def test_classes_are_the_same_in_sql(spark):
+    words = [b"", b"a", b"word", b"words", "Äpfel".encode(), "élève".encode(), b"x" * 100]
+    got = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate(words)], "i int, word binary").select("i", lblm._class_of(F.col("word")).alias("c")).orderBy("i").collect()
+    assert [r["c"] for r in got] == [lblm.word_class(w) for w in words]
+
+
+def test_slopes_are_those_of_the_objective():
+    rng = np.random.default_rng(1)
+    share = rng.dirichlet(np.ones(20))
+    p = {k: v.astype(np.float64) for k, v in lblm.start(share).items()}
+    target, before, second, noise = rng.integers(0, 20, 9), rng.integers(0, 20, 9), rng.integers(0, lblm.COARSE, 9), rng.integers(0, 20, 5)
+    log_noise = np.log(len(noise) * share)
+
+    def objective():
+        h = p["before"][before] @ p["c1"] + p["second"][second] @ p["c2"]
+        s = h @ p["features"].T + p["bias"][:, 0] - log_noise
+        return -np.log1p(np.exp(-s[np.arange(9), target])).sum() - np.log1p(np.exp(s[:, noise])).sum()
+
+    for k, (rows, slope) in lblm.slopes(p, target, before, second, noise, log_noise).items():
+        for r, own in zip(rows[:4], slope, strict=False):
+            for j in range(0, p[k].shape[1], 7):
+                p[k][r, j] += 1e-5
+                high = objective()
+                p[k][r, j] -= 2e-5
+                low = objective()
+                p[k][r, j] += 1e-5
+                assert own[j] == pytest.approx((high - low) / 2e-5, rel=1e-4, abs=1e-6)
+
+
+def test_averages_are_weighted_by_row():
+    share = np.full(4, 0.25)
+    p = lblm.start(share)
+    a, b = lblm.Trainer(p, share, 0), lblm.Trainer(p, share, 1)
+    a.p["features"][0], b.p["features"][0], a.met["features"][0], b.met["features"][0] = 1.0, 4.0, 2, 1
+    table = lblm._added(pa.table({"node": pa.array([0, 0], pa.int64()), "told": pa.array([a.told(), b.told()], pa.binary())}))
+    got = lblm.averaged(table.column("told")[0].as_py(), p)
+    assert np.allclose(got["features"][0], 2.0, atol=1e-4) and np.allclose(got["features"][1:], p["features"][1:]) and np.allclose(got["c1"], p["c1"])
+
+
+@pytest.mark.parametrize("top", [400_000, 3, 0])
+def test_scores_by_definition(docs, top):
+    """Every token's probability in plain loops, from the model's parameters and the counts alone."""
+    model, _ = lblm.fit(docs, top=top, units=5)
+    p, words = model.parameters, model.names[: model.units]
+    assert model.units <= min(5, top) and (top < 5 or model.units)
+    tokens = lambda t: [*(w.encode() for w in WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))), b""]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
+    count = collections.Counter(w for i, t in ROWS if not held(i) for w in tokens(t))
+    unit = lambda w: lblm.CLASSES + words.index(w) if w in words else lblm.word_class(w)
+    kin = collections.defaultdict(list)
+    for w, n in count.items():
+        kin[unit(w)].append(n + 0.1)
+    lone = lambda u: u == 0 or u >= lblm.CLASSES
+    known = {}
+
+    def log_p(w, before, second):
+        if (before, second) not in known:
+            h = p["before"][before].astype(float) @ p["c1"] + p["second"][second].astype(float) @ p["c2"]
+            s = p["features"].astype(float) @ h + p["bias"][:, 0]
+            known[before, second] = s - np.log(np.exp(s).sum())
+        u = unit(w)
+        return known[before, second][u] / math.log(10) + (0 if lone(u) else math.log10((count[w] + 0.1) / (sum(kin[u]) + 0.1)))
+
+    for r in lblm.score(docs, top=top, units=5).where("n_tokens < 100").collect():
+        text = next(t for i, t in ROWS if i == r["doc_id"])
+        want = sum(log_p(w, *c) for w, c in zip(tokens(text), plain_contexts(tokens(text), unit), strict=True))
+        assert r["score"] == pytest.approx(want, abs=2e-4)
 
 
 def test_model_beats_the_unigram_on_held_out_texts(spark):
-    out = lblm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
-    assert out["s"] > out["b"]
+    out = lblm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+    assert (out["s"] - out["b"]) / out["n"] > 0.15
 
 
 def test_no_documents_to_score(none):

@@ -58,13 +58,29 @@ def _drop(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While a table is written, Python workers get at most ``rows`` rows at a time; the session's own setting comes back after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(key)
+    if 0 < int(held) <= rows:
+        yield
+        return
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held)
+
+
 def durable(df: DataFrame, name: str = "t") -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back: lineage ends there, and a lost executor loses nothing.
 
     The folder goes when the driver ends, or earlier: see ``forget`` and ``tidy``.
     """
     path = _new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
