@@ -128,6 +128,64 @@ def test_store(spark, tmp_path):
         s.published("u")
 
 
+def test_a_losing_writer_destroys_nothing(spark, tmp_path, monkeypatch):
+    df = lambda *ids: spark.createDataFrame([(i, i % 2) for i in ids], "id long, p long")
+    mine, other = (store.SnapshotStore(spark, str(tmp_path / "store")) for _ in range(2))
+    ids = lambda version=None: sorted(r["id"] for r in mine.read("t", version).collect())
+    mine.overwrite("t", df(1, 2), by=["p"])
+    publish = mine._publish
+
+    def late(table, held, commit):
+        monkeypatch.setattr(mine, "_publish", publish)
+        other.append("t", df(3))
+        return publish(table, held, commit)
+
+    monkeypatch.setattr(mine, "_publish", late)
+    with pytest.raises(store.Conflict):
+        mine.replace("t", F.col("p") == 0, df(4))
+    assert ids() == [1, 2, 3] and ids(0) == [1, 2]
+    monkeypatch.setattr(mine, "_publish", late)
+    assert mine.append("t", df(5)).version == 3 and ids() == [1, 2, 3, 3, 5] and ids(2) == [1, 2, 3, 3]
+    assert [c.rows for c in mine.history("t")] == [2, 3, 4, 5]
+    folders = {f.name for f in (tmp_path / "store" / "t" / "data").iterdir()}
+    assert len(folders) == 4  # what the loser wrote is gone
+
+
+def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
+    s = store.SnapshotStore(spark, str(tmp_path / "store"))
+    rows = spark.range(100).select("id", F.concat(F.lit("a b/"), (F.col("id") % 10).cast("string")).alias("p"), (F.col("id") % 3).alias("f"))
+    s.append("t", rows, by=["p"])
+    c = s.replace("t", F.col("p") == "a b/3", rows.where("p = 'a b/3' and id < 50"))
+    assert len(c.add) == len(c.remove) == 1 and c.rows == 95
+    c = s.replace("t", (F.col("f") == 1) & (F.col("id") < 5), rows.where("id = 4"))  # 1 and 4, each in a partition of its own
+    assert len(c.remove) == 2 and c.rows == 94 and sorted(r["id"] for r in s.read("t").where("id < 6").collect()) == [0, 2, 3, 4, 5]
+    c = s.delete_orphans("t", "id", rows.where("id <> 7"))
+    assert len(c.remove) == 1 and c.rows == 93 and s.read("t").count() == 93
+    assert s.read("t", 0).count() == 100
+    with pytest.raises(ValueError):
+        s.replace("t", F.col("p") == "a b/3", rows.where("p = 'a b/4'"))
+    assert s.history("t")[-1].version == 3
+
+
+def test_loading_replaces_a_files_rows_alone(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    d, s, at = readers.Dataset("s", "d", ("a", "b")), store.SnapshotStore(spark, str(tmp_path / "store")), datetime(2024, 1, 1, tzinfo=UTC)
+
+    def told(**files):
+        for name, content in files.items():
+            (landed / f"{name}.csv").write_text(content)
+        return spark.createDataFrame([(f"{n}.csv", "S", date(2024, 1, 1 + k), hashlib.sha256(c.encode()).hexdigest()) for k, (n, c) in enumerate(files.items())], "path string, symbol string, period_start date, sha256 string")
+
+    assert landing.load_files(s, "raw", str(landed), told(x="1,2\n3,4\n", y="5,6\n"), d, "r1", at) == []
+    again = told(x="7,8\n", y="5,6\n").where("path = 'x.csv'")
+    assert landing.load_files(s, "raw", str(landed), again, d, "r2", at) == []
+    assert sorted((r["a"], r["_source_file"], r["_load_run_id"]) for r in s.read("raw").collect()) == [("5", "y.csv", "r1"), ("7", "x.csv", "r2")]
+    (landed / "y.csv").write_text("changed")
+    assert landing.load_files(s, "raw", str(landed), told(x="7,8\n").unionByName(spark.createDataFrame([("y.csv", "S", date(2024, 1, 2), "0")], again.schema)), d, "r3", at) == ["y.csv"]
+    assert s.read("raw").count() == 2 and s.read("raw", 0).count() == 3
+
+
 def test_readable_version_stops_at_the_first_write():
     history = [(1, "WRITE"), (2, "OPTIMIZE"), (3, "VACUUM"), (4, "WRITE"), (5, "OPTIMIZE")]
     assert store.readable_version(history, 1) == 3 and store.readable_version(history, 4) == 5

@@ -42,6 +42,27 @@ def verify_files(spark: SparkSession, path: str, manifests: DataFrame) -> DataFr
     return told.join(files, "file", "left").select("path", "expected", "found", F.coalesce(F.col("found") == F.col("expected"), F.lit(False)).alias("ok"))
 
 
+def load_files(store, table: str, folder: str, manifests: DataFrame, data, run_id: str, at) -> list[str]:
+    """Loads landed files into a table, verified: a file's rows replace what was loaded from it before, other files' rows stay.
+
+    ``manifests`` say path (relative to ``folder``), symbol, period_start and sha256; ``data`` is the files' dataset.  Files whose
+    bytes aren't what their manifest says are left out, and named.
+    """
+    from tidemark.sources.readers import read_raw, with_metadata
+
+    spark = manifests.sparkSession
+    told = {r["path"]: r for r in manifests.select("path", "symbol", F.col("period_start").cast("string").alias("period_start"), "sha256").collect()}
+    checked = verify_files(spark, folder, manifests).collect()
+    good = sorted(r["path"] for r in checked if r["ok"])
+    rows = None
+    for path in good:
+        one = with_metadata(read_raw(spark, data, f"{folder}/{path}"), data, told[path]["symbol"], told[path]["period_start"], path, told[path]["sha256"], run_id, at)
+        rows = one if rows is None else rows.unionByName(one)
+    if rows is not None:
+        store.replace(table, F.col("_source_file").isin(good), rows, run_id, ["_period_start"])
+    return sorted(r["path"] for r in checked if not r["ok"])
+
+
 def latest_manifests(manifests: DataFrame, key: list[str] = ["source", "dataset", "symbol", "period_start"]) -> DataFrame:  # noqa: B006
     """The last fetched file of each period."""
     place = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("fetched_at").desc(), F.col("path").desc()))

@@ -22,15 +22,24 @@ def discover(spark: SparkSession, path: str, table_path: str, checkpoint: str) -
     return query
 
 
-def upsert_latest(stream: DataFrame, keys: list[str], order: list[str], table_path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the greatest row per key: each micro-batch is merged into the next version of the table."""
+def upsert_latest(stream: DataFrame, keys: list[str], order: list[str], table_path: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Keeps the greatest row per key in the table ``latest``, partitioned by the keys' hash.
+
+    A micro-batch rewrites only the partitions that its keys fall into, and one that was merged before a restart is not merged
+    again: the last commit names the batch.
+    """
     from tidemark.plans.asof import latest_per_key
     from tidemark.sources.store import SnapshotStore
 
-    def merge(batch: DataFrame, _: int) -> None:
-        store = SnapshotStore(batch.sparkSession, table_path)
-        both = store.read("latest").select(*batch.columns).unionByName(batch) if store.history("latest") else batch
-        store.overwrite("latest", latest_per_key(both, keys, order))
+    def merge(batch: DataFrame, number: int) -> None:
+        store, run = SnapshotStore(batch.sparkSession, table_path), f"batch {number}"
+        held = store.history("latest")
+        if any(c.run_id == run for c in held):
+            return
+        new = latest_per_key(batch, keys, order).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        touched = F.col("bucket").isin([r["bucket"] for r in new.select("bucket").distinct().collect()])
+        old = store.read("latest").where(touched) if held else new.limit(0)
+        store.replace("latest", touched, latest_per_key(old.select(*new.columns).unionByName(new), keys, order), run, ["bucket"])
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
