@@ -21,7 +21,7 @@ def setup(spark):
 
 def test_prompts_number_their_excerpts(spark):
     got = {r["query_id"]: r for r in setup(spark).collect()}
-    assert got[1]["excerpts"] == [10, 11] and "[1] c10\nit was 2,500\n\n[2] c11" in got[1]["prompt"] and got[1]["prompt"].startswith("It is 2024-01-02 06:00 UTC.")
+    assert got[1]["excerpts"] == [10, 11] and "[1] c10\nit was 2,500\n\n[2] c11" in got[1]["prompt"] and got[1]["prompt"].startswith("Known on 2024-01-02 06:00 (UTC)")
     assert got[3]["excerpts"] == [] and "(none)" in got[3]["prompt"]
 
 
@@ -29,7 +29,7 @@ def test_answers_are_scored(spark):
     asked = setup(spark)
 
     def model(texts):
-        return ["It was 2,500 [1][9]." if "2,500" in t else "The excerpts do not say." for t in texts]
+        return ["It was 2,500 [1][9]." if "2,500" in t else "Nothing here answers this." for t in texts]
 
     truth = spark.createDataFrame([(1, ["2,500"], [10]), (2, ["7"], [99]), (3, ["12,500"], [99])], "query_id long, answers array<string>, relevant array<long>")
     j = answering.judged(answering.ask(asked, model), asked, truth)

@@ -61,8 +61,22 @@ def test_index_recall(spark):
     docs = spark.createDataFrame(rows, "id long, vector array<float>, knowable_at timestamp")
     q = docs.where("id < 40").select(F.col("id").alias("query_id"), "vector")
     exact = retrieval.nearest(docs, q, 10, masked=False)
-    recall = retrieval.recall_at(exact, retrieval.approximate(docs, q, 10, dim=16, tables=24, bits=4), 10).agg(F.avg("recall")).first()[0]
-    assert recall >= 0.9
+    index, middle = retrieval.indexed(docs, 12)
+    found = retrieval.approximate(index, middle, q, 10, 3, masked=False)
+    assert retrieval.recall_at(exact, found, 10).agg(F.avg("recall")).first()[0] >= 0.9
+    assert found.agg(F.max("candidates")).first()[0] < 300
+    asked = q.withColumn("as_of", F.lit(T0) - F.expr("INTERVAL 1 SECOND"))
+    assert retrieval.approximate(index, middle, asked, 10, 3).count() == 0
+    assert retrieval.approximate(index, middle, q.where("false"), 10, 3, masked=False).count() == 0
+
+
+def test_embedders_are_checked(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, None), (3, "b")], "doc_id long, text string")
+    got = {r["doc_id"]: r["vector"] for r in retrieval.embed(docs, dim=16).collect()}
+    assert got[2] is None and sum(x * x for x in got[1]) == pytest.approx(1) and got[3] != got[1]
+    for bad in (lambda texts: np.zeros((len(texts), 3)), lambda texts: np.full((len(texts), 16), np.nan)):
+        with pytest.raises(Exception, match="embedder"):
+            retrieval.embed(docs, bad, 16).collect()
 
 
 def test_fusion_and_metrics(spark):

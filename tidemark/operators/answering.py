@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.retrieval import answer_pattern
 
 #: What an answer says that finds nothing in its passages.
-ABSTAINS = "do not say"
+ABSTAINS = "nothing here answers this"
 
 
 def prompts(questions: DataFrame, ranking: DataFrame, passages: DataFrame, most: int = 5) -> DataFrame:
@@ -21,7 +21,7 @@ def prompts(questions: DataFrame, ranking: DataFrame, passages: DataFrame, most:
     told = questions.select("query_id", "text", "as_of").join(listed, "query_id", "left").withColumn("top", F.coalesce("top", F.array().cast(dict(listed.dtypes)["top"])))
     lines = F.transform("top", lambda x, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), x["context"], F.lit("\n"), x["said"]))
     body = F.when(F.size("top") == 0, "(none)").otherwise(F.array_join(lines, "\n\n"))
-    prompt = F.concat(F.lit("It is "), F.date_format("as_of", "yyyy-MM-dd HH:mm"), F.lit(" UTC.\n\nExcerpts:\n\n"), body, F.lit("\n\nQuestion: "), F.col("text"))
+    prompt = F.concat(F.lit("Known on "), F.date_format("as_of", "yyyy-MM-dd HH:mm"), F.lit(" (UTC), from these passages alone:\n\n"), body, F.lit("\n\nQuestion: "), F.col("text"))
     return told.select("query_id", prompt.alias("prompt"), F.transform("top", lambda x: x["doc_id"]).alias("excerpts"))
 
 

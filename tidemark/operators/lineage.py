@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.digests import of_lines
 from tidemark.operators.features import price_features
 from tidemark.plans.sizes import small
 
@@ -63,20 +64,18 @@ def information_set(found: DataFrame, instant, omit: list[str] = []) -> DataFram
     return known
 
 
-def set_hash(known: DataFrame, digits: int = 2) -> DataFrame:
-    """One digest of a whole set, in two levels so that no task sees all items: of the sorted digests of its parts, which the
-    first hexadecimal digits of the items' own digests tell apart."""
-    line = F.concat_ws("=", "item_id", "digest")
-    part = known.groupBy(F.substring(F.sha2(line, 256), 1, digits).alias("b")).agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(line))), 256).alias("h"), F.count("*").alias("n"))
-    return part.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("items"), F.sha2(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("b", "h"))), lambda x: x["h"])), 256).alias("set_hash"))
+def set_hash(known: DataFrame) -> DataFrame:
+    """items and set_hash: one digest of a whole set, from its items' ids and digests."""
+    return known.agg(F.count("*").alias("items"), of_lines(F.concat_ws("=", "item_id", "digest")).alias("set_hash"))
 
 
 def price_edges(daily: DataFrame, window: int = 20, keys: list[str] = ["symbol"]) -> DataFrame:  # noqa: B006
     """Which bars each price feature reads: row_id, item_id; the bar itself and up to ``window`` before it."""
-    order = Window.partitionBy(*keys).orderBy("session_date").rowsBetween(-window, 0)
-    named = daily.withColumn("__id", item_id("bar", *[F.col(k) for k in keys], F.col("session_date"))).withColumn("__ids", F.collect_list("__id").over(order))
+    order = Window.partitionBy(*keys).orderBy("session_date")
+    named = daily.withColumn("__id", item_id("bar", *[F.col(k) for k in keys], F.col("session_date")))
     ref = F.concat_ws("/", *[F.col(k).cast("string") for k in keys], F.col("session_date").cast("string"))
-    return named.select(ref.alias("row_id"), F.explode("__ids").alias("item_id"))
+    read = F.array_compact(F.array("__id", *[F.lag("__id", n).over(order) for n in range(1, window + 1)]))
+    return named.select(ref.alias("row_id"), read.alias("__ids")).select("row_id", F.explode("__ids").alias("item_id"))
 
 
 def owner(features: DataFrame, kind: str = "bar") -> Column:

@@ -16,6 +16,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.digests import of_lines
 from tidemark.plans.sizes import small
 
 
@@ -65,14 +66,16 @@ def positions(seen: DataFrame, params: DataFrame, assets: int, periods: int = 36
     """
     by = Window.partitionBy("entity").orderBy("as_of")
     fresh = F.col("close").isNotNull() & ~F.lag("close_time").over(by).eqNullSafe(F.col("close_time"))
-    rows = seen.withColumn("history", F.collect_list(F.when(fresh, F.col("close"))).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("prior", F.lag("close").over(by)).crossJoin(small(params))
-    n = F.size("history")
-    momentum = F.try_divide(F.col("close"), F.get("history", n - 1 - F.col("lookback"))) - 1
+    # fresh closes are numbered; a close meets the one ``lookback`` numbers earlier
+    rows = seen.withColumn("fresh", fresh).withColumn("n", F.sum(F.col("fresh").cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    numbered = rows.where("fresh").select("entity", F.col("n").alias("m"), F.col("close").alias("past"))
+    rows = rows.withColumn("prior", F.lag("close").over(by)).crossJoin(small(params)).withColumn("m", F.col("n") - F.col("lookback"))
+    rows = rows.join(numbered, ["entity", "m"], "left")
+    momentum = F.try_divide(F.col("close"), F.col("past")) - 1
     size = F.least(F.col("target_vol") / (F.col("vol") * math.sqrt(periods)), F.lit(leverage))
     size = size * F.when(F.col("brake") & (F.col("inflation") > brake_above), brake_to).otherwise(1.0)
     profitable = ~F.col("need_profit") | ~(F.lit(True) if has_income is None else has_income) | F.coalesce(F.col("income") > 0, F.lit(False))
-    fit = (n > F.col("lookback")) & (momentum > 0) & F.coalesce(F.col("vol") > 0, F.lit(False)) & profitable
+    fit = (momentum > 0) & F.coalesce(F.col("vol") > 0, F.lit(False)) & profitable
     rows = rows.withColumn("weight", F.when(F.coalesce(fit, F.lit(False)), size / assets).otherwise(0.0))
     mine = Window.partitionBy("params", "entity").orderBy("as_of")
     held = F.coalesce(F.lag("weight").over(mine), F.lit(0.0))
@@ -111,13 +114,11 @@ def metrics(days: DataFrame, periods: int = 365) -> DataFrame:
     )
 
 
-def fingerprint(df: DataFrame, columns: list[str], places: int = 9, digits: int = 2) -> DataFrame:
-    """rows and digest of a frame, whatever its order: a digest of the sorted digests of its hashed parts."""
+def fingerprint(df: DataFrame, columns: list[str], places: int = 9) -> DataFrame:
+    """rows and digest of a frame, whatever its order."""
     kinds = dict(df.dtypes)
     text = lambda c: F.coalesce((F.unix_micros(c) if kinds[c] == "timestamp" else F.col(c).cast(f"decimal(38,{places})") if kinds[c] == "double" else F.col(c)).cast("string"), F.lit("~"))
-    line = F.concat_ws("|", *[text(c) for c in columns])
-    part = df.select(line.alias("line")).groupBy(F.substring(F.sha2(F.col("line"), 256), 1, digits).alias("b")).agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list("line"))), 256).alias("h"), F.count("*").alias("n"))
-    return part.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.sha2(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("b", "h"))), lambda x: x["h"])), 256).alias("digest"))
+    return df.agg(F.count("*").alias("rows"), of_lines(F.concat_ws("|", *[text(c) for c in columns])).alias("digest"))
 
 
 def replay_differences(recorded: DataFrame, again: DataFrame, key: list[str]) -> DataFrame:

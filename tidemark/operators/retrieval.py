@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.sizes import small
 
-#: Queries that one pass over the corpus may carry to every task.
-QUERIES_AT_ONCE = 4096
+#: Bytes of query vectors that one pass over the corpus carries to every task.
+QUERY_BYTES = 32 << 20
+#: Rows that the lists of an index are fitted on, at most.
+FITTED = 20_000
 
 
 def unit(vector: Column) -> Column:
@@ -21,18 +23,26 @@ def unit(vector: Column) -> Column:
     return F.when(norm > 0, F.transform(vector, lambda x: x.cast("double") / norm))
 
 
+def _blocks(queries: DataFrame, columns: list[Column]) -> Iterator[list]:
+    """Rows of the queries, so many at a time that their vectors stay under ``QUERY_BYTES``."""
+    there = queries.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("cells")).first()
+    n = max(1, -(-8 * there["cells"] // QUERY_BYTES))
+    for k in range(n):
+        yield queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == k).select(*columns).orderBy("query_id").collect()
+
+
 def nearest(corpus: DataFrame, queries: DataFrame, k: int = 10, masked: bool = True, by_symbol: bool = False) -> DataFrame:
     """query_id, rank, id, distance (squared), score 1 / (1 + distance): each query's k nearest; equal distances go by id.
 
     ``corpus``: id, vector, knowable_at, symbol; ``queries``: query_id, vector, as_of, symbol (the last two where used).
-    Batches of the corpus meet all queries in one matrix product; each task keeps k per query before the shuffle.
-    Distances are compared to nine places.  The queries are collected, at most ``QUERIES_AT_ONCE`` at a time.
+    Batches of the corpus meet a block of queries, of bounded bytes, in one matrix product; each task keeps k per query, and only
+    these are shuffled.  Distances are compared to nine places.
     """
     extra = (["as_of"] if masked else []) + (["symbol"] if by_symbol else [])
-    asked = queries.select("query_id", unit(F.col("vector")).alias("vector"), *extra).where("vector is not null").orderBy("query_id").collect()
+    given = queries.where(unit(F.col("vector")).isNotNull())
     out = None
-    for at in range(0, max(1, len(asked)), QUERIES_AT_ONCE):
-        one = _nearest(corpus, asked[at : at + QUERIES_AT_ONCE], k, masked, by_symbol, dict(queries.dtypes)["query_id"])
+    for asked in _blocks(given, ["query_id", unit(F.col("vector")).alias("vector"), *extra]):
+        one = _nearest(corpus, asked, k, masked, by_symbol, dict(queries.dtypes)["query_id"])
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -43,96 +53,191 @@ def _nearest(corpus: DataFrame, asked: list, k: int, masked: bool, by_symbol: bo
     as_of = np.array([int(round(r["as_of"].timestamp() * 1e6)) if masked else 0 for r in asked], np.int64)
     symbols = np.array([r["symbol"] if by_symbol else "" for r in asked], object)
     id_kind = dict(corpus.dtypes)["id"]
+    shared = corpus.sparkSession.sparkContext.broadcast((names, matrix, as_of, symbols))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, matrix, as_of, symbols = shared.value
+        top, top_ids = np.full((len(names), 0), np.inf), None
         for batch in batches:
             if not batch.num_rows or not names:
                 continue
-            ids = batch.column(0).to_pylist()
+            ids = np.array(batch.column(0).to_pylist())
             docs = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(len(ids), -1)
             d = np.round(np.maximum((matrix**2).sum(1)[:, None] + (docs**2).sum(1)[None] - 2 * matrix @ docs.T, 0), 9)
             if masked:
                 d = np.where(batch.column(2).to_numpy()[None] <= as_of[:, None], d, np.inf)
             if by_symbol:
                 d = np.where(np.array(batch.column(batch.num_columns - 1).to_pylist(), object)[None] == symbols[:, None], d, np.inf)
-            order = np.argsort(np.array(ids, object) if id_kind == "string" else np.array(ids), kind="stable")
+            order = np.argsort(ids, kind="stable")
             pick = order[np.argsort(d[:, order], axis=1, kind="stable")[:, :k]]
-            found = np.take_along_axis(d, pick, 1)
-            q, c = np.nonzero(np.isfinite(found))
-            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in q]), pa.array([ids[i] for i in pick[q, c]]), pa.array(found[q, c])], names=["query_id", "id", "distance"])
+            top = np.concatenate([top, np.take_along_axis(d, pick, 1)], 1)
+            top_ids = ids[pick] if top_ids is None else np.concatenate([top_ids, ids[pick]], 1)
+            order = np.lexsort((top_ids, top), axis=-1)[:, :k]
+            top, top_ids = np.take_along_axis(top, order, 1), np.take_along_axis(top_ids, order, 1)
+        if top_ids is not None:
+            q, c = np.nonzero(np.isfinite(top))
+            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in q]), pa.array(top_ids[q, c].tolist()), pa.array(top[q, c])], names=["query_id", "id", "distance"])
 
     columns = ["id", unit(F.col("vector")).alias("vector"), *([F.unix_micros("knowable_at").alias("known")] if masked else []), *(["symbol"] if by_symbol else [])]
     found = corpus.select(*columns).where("vector is not null").mapInArrow(run, f"query_id {kind}, id {id_kind}, distance double")
+    return _ranked(found, k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).withColumn("score", 1 / (1 + F.col("distance"))).select("query_id", "rank", "id", "distance", "score")
 
 
-def hyperplane_buckets(vectors: DataFrame, tables: int = 8, bits: int = 8, seed: int = 1, dim: int = 64) -> DataFrame:
-    """id, bucket: the signs of random projections, one code per table; an approximate index whose answers are re-ranked exactly."""
-    planes = np.random.default_rng(seed).normal(size=(tables * bits, dim))
+# -- an index of lists around centres
+
+
+def centres(vectors: DataFrame, lists: int, sample: int = FITTED, rounds: int = 10, seed: int = 1) -> np.ndarray:
+    """Centres of ``lists`` lists, fitted on at most ``sample`` vectors (id, vector; those with the smallest hashes of their ids)."""
+    rows = vectors.where("vector is not null").orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").collect()
+    x = np.array([r["vector"] for r in rows], float)
+    if not len(x):
+        return np.zeros((1, 1))
+    found = x[np.random.default_rng(seed).choice(len(x), min(lists, len(x)), replace=False)]
+    for _ in range(rounds):
+        own = np.argmax(x @ found.T, axis=1)
+        sums = np.stack([x[own == j].sum(0) if (own == j).any() else found[j] for j in range(len(found))])
+        found = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    return found
+
+
+def in_lists(vectors: DataFrame, middle: np.ndarray, lists: int, key: str = "id") -> DataFrame:
+    """``key``, list: the ``lists`` nearest lists of each vector, by batches."""
+    shared, kind = vectors.sparkSession.sparkContext.broadcast(middle), dict(vectors.dtypes)[key]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = 1 << np.arange(bits)
         for batch in batches:
-            x = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(batch.num_rows, -1)
-            codes = ((x @ planes.T > 0).reshape(len(x), tables, bits) * weight).sum(2) + (np.arange(tables) << bits)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), tables)), pa.array(codes.ravel())], names=["id", "bucket"])
+            if batch.num_rows:
+                x = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(batch.num_rows, -1)
+                near = np.argsort(-(x @ shared.value.T), axis=1, kind="stable")[:, :lists]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(x)), near.shape[1]))), pa.array(near.ravel())], names=[key, "list"])
+
+    return vectors.select(key, "vector").where("vector is not null").mapInArrow(run, f"{key} {kind}, list long")
 
-    return vectors.select("id", "vector").mapInArrow(run, "id long, bucket long")
 
+class FromTheFuture(AssertionError):
+    """An answer that was not known at the instant asked about."""
 
-def approximate(corpus: DataFrame, queries: DataFrame, k: int = 10, dim: int = 64, **index: int) -> DataFrame:
-    """As ``nearest`` without masks, over candidates that share a bucket with the query."""
-    docs = corpus.select("id", unit(F.col("vector")).alias("vector")).where("vector is not null")
-    asked = queries.select(F.col("query_id").alias("id"), unit(F.col("vector")).alias("vector")).where("vector is not null")
-    pairs = hyperplane_buckets(asked, dim=dim, **index).withColumnRenamed("id", "query_id").join(hyperplane_buckets(docs, dim=dim, **index), "bucket").select("query_id", "id").distinct()
-    full = pairs.join(docs, "id").join(asked.select(F.col("id").alias("query_id"), F.col("vector").alias("asked")), "query_id")
+
+def indexed(corpus: DataFrame, lists: int, **fit: int) -> tuple[DataFrame, np.ndarray]:
+    """The index: every row of ``corpus`` (id, vector and other columns) with its unit vector and the one list it lies in, and the centres."""
+    unit_rows = corpus.withColumn("vector", unit(F.col("vector"))).where("vector is not null")
+    middle = centres(unit_rows, lists, **fit)
+    return unit_rows.join(in_lists(unit_rows, middle, 1), "id"), middle
+
+
+def approximate(index: DataFrame, middle: np.ndarray, queries: DataFrame, k: int = 10, probes: int = 4, masked: bool = True, by_symbol: bool = False) -> DataFrame:
+    """As ``nearest``, over the rows of the ``probes`` lists nearest to each query, ranked exactly; with candidates, how many were ranked.
+
+    Filters work before distances are computed.  That no answer is from the future is checked where the answers are: a row that
+    is raises ``FromTheFuture``.
+    """
+    extra = (["as_of"] if masked else []) + (["symbol"] if by_symbol else [])
+    asked = queries.select("query_id", unit(F.col("vector")).alias("asked"), *extra).where("asked is not null")
+    probed = in_lists(asked.withColumnRenamed("asked", "vector"), middle, probes, "query_id").join(asked, "query_id")
+    rows = index.join(small(probed), ["list", "symbol"] if by_symbol else ["list"])
+    if masked:
+        rows = rows.where(F.col("knowable_at") <= F.col("as_of"))
     d = F.round(F.aggregate(F.zip_with("vector", "asked", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x), 9)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
-    return full.select("query_id", "id", d.alias("distance")).withColumn("rank", place).where(F.col("rank") <= k).withColumn("score", 1 / (1 + F.col("distance")))
+    own = Window.partitionBy("query_id")
+    late = (F.col("knowable_at") > F.col("as_of")) if masked else F.lit(False)
+    near = rows.select("query_id", "id", d.alias("distance"), late.alias("late"))
+    counted = near.groupBy("query_id").agg(F.count("*").alias("candidates"))
+    best = near.withColumn("rank", F.row_number().over(own.orderBy("distance", "id"))).where(F.col("rank") <= k)
+    sure = F.when(~F.col("late"), F.col("id")).otherwise(F.raise_error("an answer is from the future").cast(dict(index.dtypes)["id"]))
+    return best.join(counted, "query_id").select("query_id", "rank", sure.alias("id"), "distance", (1 / (1 + F.col("distance"))).alias("score"), "candidates")
+
+
+# -- vectors of texts
+
+
+def hashed_words(texts: list[str], dim: int = 64) -> np.ndarray:
+    """A deterministic local embedder: each word adds one, up or down, at a place that its digest names."""
+    import hashlib
+    import re
+
+    out = np.zeros((len(texts), dim))
+    for row, text in zip(out, texts, strict=True):
+        for word in re.findall("[a-z0-9]+", text.lower()):
+            digest = hashlib.md5(word.encode()).hexdigest()
+            row[int(digest[:8], 16) % dim] += 1 if int(digest[8], 16) % 2 else -1
+    return out
+
+
+def embed(rows: DataFrame, embedder=hashed_words, dim: int = 64, batch: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, vector: unit vectors of texts by any function of a list of texts, ``batch`` at a time; a null text is an empty one.
+
+    A vector of another length than ``dim``, or one that isn't finite, is an error; a zero vector stays null.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for at in range(0, part.num_rows, batch):
+                own = part.slice(at, batch)
+                found = np.asarray(embedder([t or "" for t in own.column(1).to_pylist()]), float)
+                if found.shape != (own.num_rows, dim) or not np.isfinite(found).all():
+                    raise ValueError(f"the embedder gave {found.shape}, not {(own.num_rows, dim)} finite numbers")
+                norm = np.linalg.norm(found, axis=1)
+                vectors = [(v / n).tolist() if n else None for v, n in zip(found, norm, strict=True)]
+                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(vectors, pa.list_(pa.float64()))], names=[key, "vector"])
+
+    return rows.select(key, F.col(text).cast("string")).mapInArrow(run, f"{key} {dict(rows.dtypes)[key]}, vector array<double>")
+
+
+# -- words
 
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """doc_id, term, tf, chars of documents (doc_id, text); ``length`` is the number of tokens."""
-    split = docs.select("doc_id", tokens(F.col("text")).alias("t"))
-    return split.select("doc_id", F.size("t").alias("length"), F.explode("t").alias("term")).groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
+def postings(docs: DataFrame, terms: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, length, keep, term, tf of documents (doc_id, text); ``length`` is the number of tokens.
+
+    With ``terms`` (term), a counted broadcast where they are few, all other tokens go where they are read: only hits are shuffled.
+    """
+    split = docs.select("doc_id", *keep, tokens(F.col("text")).alias("t"))
+    every = split.select("doc_id", *keep, F.size("t").alias("length"), F.explode("t").alias("term"))
+    if terms is not None:
+        every = every.join(small(terms.select("term").distinct()), "term")
+    return every.groupBy("doc_id", *keep, "length", "term").agg(F.count("*").alias("tf"))
 
 
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, masked: bool = True) -> DataFrame:
     """query_id, rank, doc_id, score: the k best of the documents known at the query's instant.
 
     ``docs``: doc_id, text, knowable_at; ``queries``: query_id, text, as_of.  Document frequencies, number and mean length count
-    only visible documents.  Documents without a query term score 0 and fill the list in order of their ids.  The query's
-    distinct terms meet the postings in an equi-join; the (few) instants meet the documents once for the statistics.
+    only visible documents.  Documents without a query term score 0 and fill the list in order of their ids.  Documents meet the
+    instants asked about once, each in the span between two of them that it became known in: numbers, lengths and the k smallest
+    ids are taken per span, and spans, as many as instants, are summed up for each instant.
     """
-    known = docs.select("doc_id", F.size(tokens(F.col("text"))).alias("length"), "knowable_at")
-    asked = queries.select("query_id", "text", *(["as_of"] if masked else [F.lit(None).cast("timestamp").alias("as_of")]))
-    visible = (F.col("knowable_at") <= F.col("as_of")) if masked else F.lit(True)
-    # lengths are summed per instant of knowledge first: the join by time then never touches a text
-    steps = known.groupBy("knowable_at").agg(F.count("*").alias("n"), F.sum("length").alias("total"))
-    sums = [F.sum("n").alias("visible"), (F.sum("total") / F.sum("n")).alias("mean")]
-    if masked:
-        instants = small(asked.select("as_of").distinct())
-        stats = steps.join(instants, visible).groupBy("as_of").agg(*sums)
-        place = F.row_number().over(Window.partitionBy("as_of").orderBy("doc_id"))
-        first = docs.select("doc_id", "knowable_at").join(instants, visible).select("as_of", "doc_id").withColumn("n", place).where(F.col("n") <= k).drop("n")
-    else:
-        stats = steps.agg(*sums)
-        first = docs.select("doc_id").orderBy("doc_id").limit(k)
-    terms = asked.select("query_id", "as_of", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    hits = postings(docs).join(docs.select("doc_id", "knowable_at"), "doc_id").join(small(terms), "term").where(visible)
+    asked = queries.select("query_id", "text", *(["as_of"] if masked else [F.lit("9999-12-31").cast("timestamp").alias("as_of")]))
+    instants = sorted(r["us"] for r in asked.select(F.unix_micros("as_of").alias("us")).distinct().collect())
+    known = F.col("knowable_at") if masked else F.lit("1970-01-01").cast("timestamp")
+    # the first instant that sees a document; those that none sees take no part
+    first = F.get(F.filter(F.lit(instants or [0]), lambda t: t >= F.unix_micros(known)), F.lit(0))
+    spans = docs.select("doc_id", first.alias("span"), F.regexp_count(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z0-9]+")).alias("length")).where("span is not null")
+    sums = spans.groupBy("span").agg(F.count("*").alias("n"), F.sum("length").alias("total"))
+    least = spans.select("span", "doc_id").withColumn("n", F.row_number().over(Window.partitionBy("span").orderBy("doc_id"))).where(F.col("n") <= k).drop("n")
+    when = small(asked.select(F.unix_micros("as_of").alias("at")).distinct())
+    stats = sums.join(when, F.col("span") <= F.col("at")).groupBy("at").agg(F.sum("n").alias("visible"), (F.sum("total") / F.sum("n")).alias("mean"))
+    fill = least.join(when, F.col("span") <= F.col("at")).withColumn("n", F.row_number().over(Window.partitionBy("at").orderBy("doc_id"))).where(F.col("n") <= k).select("at", "doc_id")
+
+    terms = asked.select("query_id", F.unix_micros("as_of").alias("at"), F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
+    found = postings(docs.withColumn("span", first).where("span is not null"), terms, ("span",))
+    hits = found.join(small(terms), "term").where(F.col("span") <= F.col("at"))
     df = hits.groupBy("query_id", "term").agg(F.count("*").alias("df"))
-    scored = hits.join(df, ["query_id", "term"]).join(small(stats) if masked else F.broadcast(stats), *(["as_of"] if masked else []))
+    scored = hits.join(small(df), ["query_id", "term"]).join(small(stats), "at")
     mean = F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0)
     idf = F.ln(1 + (F.col("visible") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean))
-    found = scored.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
-    fill = asked.select("query_id", "as_of").join(first, "as_of") if masked else asked.select("query_id").crossJoin(F.broadcast(first))
-    every = found.unionByName(fill.select("query_id", "doc_id", F.lit(0.0).alias("score"))).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 9).alias("score"))
+    best = scored.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
+    none = asked.select("query_id", F.unix_micros("as_of").alias("at")).join(small(fill), "at").select("query_id", "doc_id", F.lit(0.0).alias("score"))
+    every = best.unionByName(none).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 9).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id"))
     return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 

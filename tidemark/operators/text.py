@@ -16,13 +16,17 @@ def to_lines(docs: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = html_lines(html)
-                yield pa.RecordBatch.from_arrays([pa.array([i] * len(lines), pa.int64()), pa.array(range(len(lines)), pa.int32()), pa.array(lines, pa.string())], names=[id_col, "line_no", "line"])
+            found = [(i, n, line) for i, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for n, line in enumerate(html_lines(html))]
+            yield _batch(found, {id_col: pa.int64(), "line_no": pa.int32(), "line": pa.string()})
 
     return docs.select(F.col(id_col).cast("long"), F.col(html_col).cast("string")).mapInArrow(run, f"{id_col} long, line_no int, line string")
 
 
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+
 def to_chunks(docs: DataFrame, id_col: str, text_col: str, html: bool = False, size: int = 2000, overlap: int = 300, partitions: int | None = None) -> DataFrame:
     """id, chunk_id, chunk_index, section, text: chunks of HTML or of plain lines.
 
@@ -31,13 +35,11 @@ def to_chunks(docs: DataFrame, id_col: str, text_col: str, html: bool = False, s
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 lines = html_lines(text) if html else [x for x in (y.strip() for y in (text or "").split("\n")) if x]
-                found = chunk(lines, size, overlap)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i] * len(found), pa.int64()), pa.array([c[0] for c in found], pa.int32()), pa.array([c[1] for c in found], pa.string()), pa.array([c[2] for c in found], pa.string())],
-                    names=[id_col, "chunk_index", "section", "text"],
-                )
+                found += [(i, *c) for c in chunk(lines, size, overlap)]
+            yield _batch(found, {id_col: pa.int64(), "chunk_index": pa.int32(), "section": pa.string(), "text": pa.string()})
 
     given = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     if partitions:

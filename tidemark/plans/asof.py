@@ -24,6 +24,8 @@ VALUE = ["event_time", "knowable_at", "source_table", "source_ref", "value"]
 RESULT = ["entity", "as_of", "feature", *VALUE]
 #: A spine of at most so many rows is broadcast.
 SMALL_SPINE = 50_000
+#: Probes of one entity that the interval plan takes.
+FEW_PROBES = 64
 
 
 class SpineError(ValueError):
@@ -77,12 +79,18 @@ def interval_plan(facts: DataFrame, spine: DataFrame) -> DataFrame:
 def as_of(facts: DataFrame, spine: DataFrame, global_entity: str | None = None, plan: str = "auto") -> DataFrame:
     """entity, as_of, feature and the winner's columns for every probe of ``spine`` and feature known by then.
 
-    ``plan``: merge, interval, or auto, which counts the spine.
+    ``plan``: merge, interval, or auto, which counts the spine and each entity's probes: the interval plan compares every change
+    of an entity with every one of its probes.
     """
     spine = check_spine(spine)
-    if plan == "auto":
-        plan = "interval" if spine.limit(SMALL_SPINE + 1).count() <= SMALL_SPINE else "merge"
-    read = merge_plan if plan == "merge" else interval_plan
+
+    def read(facts: DataFrame, spine: DataFrame) -> DataFrame:
+        chosen = plan
+        if plan == "auto":
+            few = spine.limit(SMALL_SPINE + 1).count() <= SMALL_SPINE
+            chosen = "interval" if few and not spine.groupBy("entity").count().where(F.col("count") > FEW_PROBES).limit(1).count() else "merge"
+        return (merge_plan if chosen == "merge" else interval_plan)(facts, spine)
+
     if global_entity is None:
         return read(facts, spine).select(*RESULT)
     own = read(facts.where(F.col("entity") != global_entity), spine)

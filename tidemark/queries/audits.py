@@ -6,6 +6,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import digests
 from tidemark.operators import features, leakage, lineage
 from tidemark.queries import frames as fr
 
@@ -35,7 +36,7 @@ def audit_after_source(spark, d):
 
 def audit_visibility(spark, d):
     facts = fr.facts(spark, d)
-    probed = _sources(spark, d).where("cast(source_ref as long) % 9 = 0")
+    probed = _sources(spark, d)
     return leakage.visibility_probe(facts, probed).agg(F.count("*").alias("sources"), F.sum("early").alias("early"), F.sum("on_time").alias("on_time"))
 
 
@@ -151,7 +152,7 @@ ORACLE = {
     "audit_closed_bar": f"""WITH {fr.MINUTES}, x AS (SELECT bar_time, CASE WHEN CAST(epoch(bar_time) AS BIGINT) % 7 = 0 THEN bar_time WHEN CAST(epoch(bar_time) AS BIGINT) % 11 = 0 THEN NULL ELSE knowable_at END AS k, knowable_at FROM minutes)
 SELECT 'clean' AS world, count(*) AS cases FROM x WHERE knowable_at IS NULL OR knowable_at < bar_time + INTERVAL 1 MINUTE UNION ALL SELECT 'faulty', count(*) FROM x WHERE k IS NULL OR k < bar_time + INTERVAL 1 MINUTE""",
     "audit_after_source": "SELECT event_type AS feature, count(*) AS cases, count(*) FILTER (WHERE event_id % 103 = 1) AS without_source FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 1 GROUP BY 1",
-    "audit_visibility": f"""WITH {fr.FACTS}, s AS (SELECT entity, source_ref, knowable_at AS t FROM facts WHERE CAST(source_ref AS BIGINT) % 9 = 0),
+    "audit_visibility": f"""WITH {fr.FACTS}, s AS (SELECT entity, source_ref, knowable_at AS t FROM facts),
 w AS (SELECT s.source_ref AS probe, f.source_ref, row_number() OVER (PARTITION BY s.source_ref, f.feature ORDER BY f.event_time DESC, f.knowable_at DESC, f.source_ref DESC) AS n FROM s JOIN facts f ON f.entity = s.entity AND f.knowable_at <= s.t)
 SELECT (SELECT count(*) FROM s) AS sources, CAST(0 AS BIGINT) AS early, count(*) FILTER (WHERE n = 1 AND probe = source_ref) AS on_time FROM w""",
     "audit_counterfactual_zero": "SELECT CAST(0 AS BIGINT) AS cases",
@@ -159,8 +160,8 @@ SELECT (SELECT count(*) FROM s) AS sources, CAST(0 AS BIGINT) AS early, count(*)
   CAST(coalesce(max(o_orderdate) FILTER (WHERE o_orderkey % 3 <> 0), max(o_orderdate)) AS DATE) AS period_end, max(o_orderdate) FILTER (WHERE o_orderkey % 2 = 0) AS acceptance FROM orders GROUP BY 1, 2)
 SELECT symbol, accession, form, filed, period_end, CASE WHEN acceptance IS NULL THEN 'filed_date' ELSE 'acceptance' END AS knowable_basis, epoch_us(coalesce(acceptance, CAST(filed + 1 AS TIMESTAMP))) AS knowable_from_us FROM f""",
     "items_enumerate": f"WITH {_ITEMS} SELECT item_id, 'bar' AS kind, entity, epoch_us(knowable_at) AS knowable_at_us, digest FROM items",
-    "information_set": f"""WITH {_ITEMS}, k AS (SELECT item_id || '=' || digest AS line FROM items WHERE knowable_at <= TIMESTAMP '2024-01-25 06:00:00' AND item_id NOT IN ('bar:click/2024-01-12', 'bar:view/2024-01-05')),
-p AS (SELECT substr(sha256(line), 1, 2) AS b, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY line)) AS h FROM k GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS items, sha256(string_agg(h, chr(10) ORDER BY b)) AS set_hash FROM p""",
+    "information_set": f"""WITH {_ITEMS}, k AS (SELECT item_id || '=' || digest AS line FROM items WHERE knowable_at <= TIMESTAMP '2024-01-25 06:00:00' AND item_id NOT IN ('bar:click/2024-01-12', 'bar:view/2024-01-05'))
+SELECT count(*) AS items, {digests.SQL} AS set_hash FROM k""",
     "world_rows": f"WITH {fr.PRICE} SELECT feature, count(*) AS rows FROM price p JOIN days d ON d.symbol = p.entity AND d.session_date = p.session_date AND d.knowable_at <= TIMESTAMP '2024-01-25 06:00:00' GROUP BY feature",
     "account_reads": f"""WITH {fr.PRICE}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY session_date) AS k FROM days),
 u AS (SELECT n.symbol, n.k FROM price p JOIN n ON n.symbol = p.entity AND n.session_date = p.session_date WHERE p.feature = 'volatility_20d')

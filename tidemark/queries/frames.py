@@ -120,10 +120,10 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queries: the first words of benchmark passages, asked at instants that fall into the corpus."""
+    """Queries: benchmark passages, asked at instants that fall into the corpus."""
     b = table(spark, sf_dir, "benchmark")
-    return b.select(F.col("item_id").alias("query_id"), F.substring("text", 1, 60).alias("text"), F.timestamp_seconds(F.lit(1704067200) + (F.col("item_id") * 37 + 50) * 60).alias("as_of"))
+    return b.select(F.col("item_id").alias("query_id"), "text", F.timestamp_seconds(F.lit(1704067200) + (F.col("item_id") * 37 + 50) * 60).alias("as_of"))
 
 
 CORPUS = """corpus AS (SELECT doc_id, text, TIMESTAMP '2024-01-01' + to_minutes(doc_id) AS knowable_at FROM documents),
-asked AS (SELECT item_id AS query_id, substr(text, 1, 60) AS text, TIMESTAMP '2024-01-01' + to_minutes(item_id * 37 + 50) AS as_of FROM benchmark)"""
+asked AS (SELECT item_id AS query_id, text, TIMESTAMP '2024-01-01' + to_minutes(item_id * 37 + 50) AS as_of FROM benchmark)"""

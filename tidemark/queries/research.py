@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import stats
+from tidemark.functions import digests, stats
 from tidemark.operators import counterfactual as cf
 from tidemark.operators import features, lineage, research
 from tidemark.plans.asof import as_of
@@ -155,8 +155,8 @@ SELECT params, days, round(equity - 1, 6) AS total_return, round(CASE WHEN equit
   round(CASE WHEN sd > 0 THEN mean / sd * sqrt(365) ELSE 0 END, 6) AS sharpe, round(greatest(dd, 0), 6) AS max_drawdown, round(gross, 6) AS average_gross, round(turnover, 6) AS turnover FROM m""",
     "replay_differences": """SELECT 'same' AS run, CAST(0 AS BIGINT) AS differences UNION ALL
 SELECT 'changed', count(*) FROM range(3), (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 06:00:00', TIMESTAMP '2024-02-01 06:00:00', INTERVAL 1 DAY)) AS t) WHERE epoch_us(t) % 9 = 0 AND t >= TIMESTAMP '2024-01-02 06:00:00'""",
-    "input_fingerprint": f"""WITH {_BACKTEST}, l AS (SELECT entity || '|' || CAST(epoch_us(as_of) AS VARCHAR) || '|close|' || CAST(CAST(round(value, 6) AS DECIMAL(38,9)) AS VARCHAR) || '|' || CAST(epoch_us(CAST(session_date AS TIMESTAMP)) AS VARCHAR) AS line FROM seen WHERE n = 1 AND feature = 'close'),
-p AS (SELECT substr(sha256(line), 1, 2) AS b, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY line)) AS h FROM l GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(h, chr(10) ORDER BY b)) AS digest FROM p""",
+    "input_fingerprint": f"""WITH {_BACKTEST}, l AS (SELECT entity || '|' || CAST(epoch_us(as_of) AS VARCHAR) || '|close|' || CAST(CAST(round(value, 6) AS DECIMAL(38,9)) AS VARCHAR) || '|' || CAST(epoch_us(CAST(session_date AS TIMESTAMP)) AS VARCHAR) AS line FROM seen WHERE n = 1 AND feature = 'close')
+SELECT count(*) AS rows, {digests.SQL} AS digest FROM l""",
     "param_grid": """SELECT 'lb' || l || '-vol' || CASE WHEN v = 0.1 THEN '0.1' ELSE '0.2' END || CASE WHEN b THEN '-brake' ELSE '-nobrake' END || CASE WHEN p THEN '-profit' ELSE '-any' END AS params, l AS lookback, v::DOUBLE AS target_vol, b AS brake, p AS need_profit
 FROM (VALUES (20), (60), (120)) a(l), (VALUES (0.1), (0.2)) c(v), (VALUES (false), (true)) d(b), (VALUES (false), (true)) e(p)""",
     "price_lineage_size": f"""WITH {fr.DAYS} SELECT symbol || '/' || CAST(session_date AS VARCHAR) AS row_id, CAST(least(21, row_number() OVER (PARTITION BY symbol ORDER BY session_date)) AS BIGINT) AS items FROM days""",

@@ -19,11 +19,6 @@ def _folder(spark, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def _capped(spark, d):
-    """The part of the load log that the registered SQL reads."""
-    return fr.load_log(spark, d).where("run < 400")
-
-
 def _manifests(spark, log, root: str) -> str:
     """Manifests of a load log as files, written by tasks: one per path, and of some a second one, fetched later."""
     told = log.select(
@@ -59,16 +54,16 @@ def latest(spark, log):
     root = _folder(spark, "latest")
     landed = _manifests(spark, log, root)
     stream = streams.manifest_stream(spark, landed, most_files=3).drop("_manifest_path")
-    streams.upsert_latest(stream, ["path"], ["fetched_at"], f"{root}/store", f"{root}/checkpoint")
+    streams.upsert_latest(stream, ["path"], ["fetched_at", "bytes"], f"{root}/store", f"{root}/checkpoint")
     return SnapshotStore(spark, f"{root}/store").read("latest").select("path", "bytes", *fr.micros("fetched_at"))
 
 
 def stream_manifest_available_now(spark, d):
-    return discovered(spark, _capped(spark, d))
+    return discovered(spark, fr.load_log(spark, d))
 
 
 def stream_latest_wins(spark, d):
-    return latest(spark, _capped(spark, d))
+    return latest(spark, fr.load_log(spark, d))
 
 
 def tumbling_window(spark, d):
@@ -105,8 +100,8 @@ _SLIDE = """w AS (SELECT unnest(generate_series(time_bucket(INTERVAL {slide} HOU
 _TUMBLE = f"WITH {_SLIDE.format(slide=6, back=0)} SELECT epoch_us(s) AS window_start_us, epoch_us(s + INTERVAL 6 HOUR) AS window_end_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM w GROUP BY s, event_type"
 
 ORACLE = {
-    "stream_manifest_available_now": f"""WITH {fr.LOAD_LOG} SELECT path, "table" AS dataset, symbol, period AS period_start, md5(path) AS sha256, rows AS bytes, epoch_us(loaded_at) AS fetched_at_us FROM log WHERE run < 400""",
-    "stream_latest_wins": f"""WITH {fr.LOAD_LOG} SELECT path, rows AS bytes, epoch_us(loaded_at) AS fetched_at_us FROM log WHERE run < 400 QUALIFY row_number() OVER (PARTITION BY path ORDER BY loaded_at DESC) = 1""",
+    "stream_manifest_available_now": f"""WITH {fr.LOAD_LOG} SELECT path, "table" AS dataset, symbol, period AS period_start, md5(path) AS sha256, rows AS bytes, epoch_us(loaded_at) AS fetched_at_us FROM log""",
+    "stream_latest_wins": f"""WITH {fr.LOAD_LOG} SELECT path, rows AS bytes, epoch_us(loaded_at) AS fetched_at_us FROM log QUALIFY row_number() OVER (PARTITION BY path ORDER BY loaded_at DESC, rows DESC) = 1""",
     "tumbling_window": _TUMBLE,
     "stream_tumbling_window": _TUMBLE,
     "sliding_window": f"WITH {_SLIDE.format(slide=2, back=4)} SELECT epoch_us(s) AS window_start_us, epoch_us(s + INTERVAL 6 HOUR) AS window_end_us, count(*) AS n, round(sum(value), 4) AS total FROM w GROUP BY s",
