@@ -56,7 +56,7 @@ DIM, BATCH, NOISE = 24, 2048, 96
 #: Texts that the common beginning is made from, about.
 WARM = 1000
 #: Tasks whose parameters one node of the tree averages.
-FAN = 64
+FAN = 16
 _FLUSH = 400_000
 _SMOOTH = 0.1
 
@@ -226,11 +226,11 @@ class Trainer:
 
     def told(self) -> bytes:
         """Sums for the average: each row times how often it was met (a little for rows never met), and the weights."""
-        return b"".join(np.concatenate([(self.p[k] * (self.met[k] + 1e-6)[:, None]).astype("<f8").ravel(), self.met[k] + 1e-6]).tobytes() for k in PARAMETERS)
+        return b"".join(np.concatenate([(self.p[k] * (self.met[k] + 1e-6)[:, None]).ravel(), self.met[k] + 1e-6]).astype("<f4").tobytes() for k in PARAMETERS)
 
 
 def averaged(told: bytes, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    flat, out, at = np.frombuffer(told, "<f8"), {}, 0
+    flat, out, at = np.frombuffer(told, "<f4").astype(float), {}, 0
     for k in PARAMETERS:
         n, d = like[k].shape
         rows, weight = flat[at : at + n * d].reshape(n, d), flat[at + n * d : at + n * d + n]
@@ -242,9 +242,9 @@ def averaged(told: bytes, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 def _added(table: pa.Table) -> pa.Table:
     total = None
     for told in table.column("told"):
-        own = np.frombuffer(told.as_buffer(), "<f8")
-        total = own.copy() if total is None else np.add(total, own, out=total)
-    return pa.table({"node": table.column("node").slice(0, 1), "told": pa.array([total.tobytes()], pa.binary())})
+        own = np.frombuffer(told.as_buffer(), "<f4")
+        total = own.astype(float) if total is None else np.add(total, own, out=total)
+    return pa.table({"node": table.column("node").slice(0, 1), "told": pa.array([total.astype("<f4").tobytes()], pa.binary())})
 
 
 def log_sums(p: dict[str, np.ndarray]) -> np.ndarray:
