@@ -74,7 +74,7 @@ def test_embedders_are_checked(spark):
     docs = spark.createDataFrame([(1, "a b a"), (2, None), (3, "b")], "doc_id long, text string")
     got = {r["doc_id"]: r["vector"] for r in retrieval.embed(docs, dim=16).collect()}
     assert got[2] is None and sum(x * x for x in got[1]) == pytest.approx(1) and got[3] != got[1]
-    for bad in (lambda texts: np.zeros((len(texts), 3)), lambda texts: np.full((len(texts), 16), np.nan)):
+    for bad in (lambda texts, _: np.zeros((len(texts), 3)), lambda texts, dim: np.full((len(texts), dim), np.nan)):
         with pytest.raises(Exception, match="embedder"):
             retrieval.embed(docs, bad, 16).collect()
 

@@ -1,11 +1,11 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import gate, ops, rules
+from tidemark.operators import gate, leakage, ops, rules
 from tidemark.queries import quality
 
 
@@ -129,3 +129,20 @@ def test_drift_judges_full_windows_only(spark):
     cut = prof(0, 100, 0.0, ["a"]) + prof(1, 100, 0.0, ["a"], distinct=7)
     got = {r["column_name"]: r for r in ops.drift(spark.createDataFrame(cut, schema), ["v"], [], ["k"]).collect()}
     assert got["v"]["factor"] == 1.0 and "k" not in got
+
+
+def test_rules_of_the_domain(spark):
+    hour = datetime(2024, 3, 5, 12, tzinfo=UTC)
+    rows = [(1.0, 2.0, 1.0, 2.0, "1.5", date(2024, 1, 1), date(2024, 2, 1), 20_000, hour, date(2024, 3, 5)), (1.0, 2.0, 1.5, 2.0, ".", None, date(2024, 2, 1), 9_999, hour.replace(hour=8), date(2024, 3, 5)),
+            (0.0, 2.0, 0.0, 1.0, None, date(2024, 3, 1), date(2024, 2, 1), None, hour, date(2024, 3, 4)), (1.0, 1.0, 1.0, 1.0, "1e3", None, None, 10_000, hour, date(2024, 3, 30))]
+    df = spark.createDataFrame(rows, "open double, close double, low double, high double, value string, period_start date, period_end date, html_chars int, acceptance_time timestamp, filing_date date")
+    told = {r["rule"]: r["rows"] for r in rules.broken(df, [rules.positive("open"), rules.BAR_CONSISTENT, rules.reported(), rules.numeric(), rules.PERIOD_ORDERED, rules.document_has_text(), rules.accepted_in_hours()]).collect()}
+    assert told == {"price_and_quantity_positive": 1, "ohlc_consistent": 2, "value_reported": 1, "value_numeric": 2, "period_ordered": 1, "document_has_text": 2, "timestamp_plausible": 3}
+
+
+def test_differences_within_a_tolerance(spark):
+    rows = lambda *x: spark.createDataFrame(list(x), "k string, value double")
+    a = rows(("a", 1.0), ("a", 2.0), ("b", None), ("c", 5.0), (None, 1.0))
+    assert leakage.differences_within(a, rows(("a", 2.0 + 1e-12), ("a", 1.0), ("b", None), ("c", 5.0), (None, 1.0))).count() == 0
+    got = leakage.differences_within(a, rows(("a", 1.0), ("b", 0.0), ("c", 5.1), (None, 1.0), ("d", 1.0))).collect()
+    assert sorted((r["k"], r["problem"]) for r in got) == [("a", "only left"), ("b", "value"), ("c", "value"), ("d", "only right")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import local_midnight
@@ -52,6 +52,23 @@ def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
 
 
+def differences_within(a: DataFrame, b: DataFrame, value: str = "value", tolerance: float = 1e-9) -> DataFrame:
+    """Rows of either that the other lacks, as a bag keyed by all other columns; values count as equal within ``tolerance`` of the larger.
+
+    Of rows that repeat a key the n-th smallest values meet; a null meets nulls only.  Columns: key, left, right, problem.
+    """
+    key = [c for c in a.columns if c != value]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(value).asc_nulls_first()))
+    told = lambda df, side: df.select(*key, place.alias("__n"), F.struct(F.col(value).cast("double").alias("v")).alias(side))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*key, "__n"]]
+    both = told(a, "left").alias("l").join(told(b.select(*a.columns), "right").alias("r"), same, "full")
+    met = both.select(*[F.coalesce(f"l.{c}", f"r.{c}").alias(c) for c in key], "left", "right")
+    x, y = F.col("left.v"), F.col("right.v")
+    near = x.eqNullSafe(y) | F.coalesce(F.abs(x - y) <= tolerance * F.greatest(F.abs(x), F.abs(y)), F.lit(False))
+    problem = F.when(F.col("right").isNull(), "only left").when(F.col("left").isNull(), "only right").when(~near, "value")
+    return met.select(*key, x.alias("left"), y.alias("right"), problem.alias("problem")).where("problem is not null")
+
+
 def counterfactual(features: DataFrame, inputs: DataFrame, build: Callable[[DataFrame], DataFrame], instant, spine: DataFrame, global_entity: str | None = None) -> DataFrame:
     """What reading ``features`` at the instant gives and a rebuild from inputs knowable by then doesn't, and the other way round."""
     rebuilt = build(inputs.where(F.col("knowable_at") <= F.lit(instant)))

@@ -140,3 +140,21 @@ def patch(features: DataFrame, touched: DataFrame, anew: DataFrame, world_name:
     untouched = features.join(mine, "source_ref", "left_anti").select(*features.columns)
     again = anew.where(F.col("world") == world_name).join(mine, "source_ref", "left_semi").select(*features.columns)
     return untouched.unionByName(again)
+
+
+def coherence(patched: DataFrame, rebuilt: DataFrame, known: DataFrame, withheld: list[str], recorded: str, kind: str = "bar") -> DataFrame:
+    """One row: whether a world without some items is what it claims to be.
+
+    ``patched``: the world's rows; ``rebuilt``: all features anew without the items; ``known``: the whole information set;
+    ``recorded``: its hash when nothing was withheld.  differences from the rebuild, rows still owned by a withheld item, rows
+    that no item of the remaining set accounts for, whether a world that withholds nothing keeps the hash; coherent: all of them.
+    """
+    from tidemark.operators.leakage import differences_within
+
+    left = known.where(~F.col("item_id").isin(withheld)) if withheld else known
+    lone = patched.withColumn("__owner", owner(patched, kind)).join(left.select(F.col("item_id").alias("__owner")), "__owner", "left_anti")
+    mine = patched.where(owner(patched, kind).isin(withheld)) if withheld else patched.limit(0)
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    told = count(differences_within(patched, rebuilt), "differences").join(count(mine, "owned"), F.lit(True)).join(count(lone, "unaccounted"), F.lit(True)).join(set_hash(left).select("set_hash"), F.lit(True))
+    keeps = F.lit(bool(withheld)) | (F.col("set_hash") == recorded)
+    return told.withColumn("keeps", keeps).withColumn("coherent", (F.col("differences") == 0) & (F.col("owned") == 0) & (F.col("unaccounted") == 0) & F.col("keeps")).drop("set_hash")

@@ -155,7 +155,7 @@ def approximate(index: DataFrame, middle: np.ndarray, queries: DataFrame, k: int
 # -- vectors of texts
 
 
-def hashed_words(texts: list[str], dim: int = 64) -> np.ndarray:
+def hashed_words(texts: list[str], dim: int) -> np.ndarray:
     """A deterministic local embedder: each word adds one, up or down, at a place that its digest names."""
     import hashlib
     import re
@@ -169,7 +169,7 @@ def hashed_words(texts: list[str], dim: int = 64) -> np.ndarray:
 
 
 def embed(rows: DataFrame, embedder=hashed_words, dim: int = 64, batch: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, vector: unit vectors of texts by any function of a list of texts, ``batch`` at a time; a null text is an empty one.
+    """``key``, vector: unit vectors of texts by any function of (list of texts, dim), ``batch`` texts at a time; a null text is an empty one.
 
     A vector of another length than ``dim``, or one that isn't finite, is an error; a zero vector stays null.
     """
@@ -178,7 +178,7 @@ def embed(rows: DataFrame, embedder=hashed_words, dim: int = 64, batch: int = 8,
         for part in batches:
             for at in range(0, part.num_rows, batch):
                 own = part.slice(at, batch)
-                found = np.asarray(embedder([t or "" for t in own.column(1).to_pylist()]), float)
+                found = np.asarray(embedder([t or "" for t in own.column(1).to_pylist()], dim), float)
                 if found.shape != (own.num_rows, dim) or not np.isfinite(found).all():
                     raise ValueError(f"the embedder gave {found.shape}, not {(own.num_rows, dim)} finite numbers")
                 norm = np.linalg.norm(found, axis=1)

@@ -63,6 +63,46 @@ class Spec:
             raise ValueError(f"no such action: {bad}")
 
 
+# Names, conditions and bounds of the rules of the domain.
+LEAST_DOCUMENT = 10_000
+ACCEPTED_HOURS = (6, 22)
+
+
+def positive(*columns: str) -> Rule:
+    return Rule("price_and_quantity_positive", " AND ".join(f"{c} > 0" for c in columns), why="a price or quantity that no trade can have")
+
+
+BAR_CONSISTENT = Rule("ohlc_consistent", "low <= least(open, close) AND high >= greatest(open, close)", why="a range that doesn't hold its own ends")
+
+
+def reported(column: str = "value") -> Rule:
+    return Rule("value_reported", f"{column} IS NOT NULL", why="the release has no value for this date")
+
+
+def numeric(column: str = "value") -> Rule:
+    return Rule("value_numeric", f"try_cast({column} AS DECIMAL(38,6)) IS NOT NULL", why="no number")
+
+
+PERIOD_ORDERED = Rule("period_ordered", "period_start IS NULL OR period_start <= period_end", why="a period that ends before it starts")
+
+
+def document_has_text(chars: str = "html_chars", least: int = LEAST_DOCUMENT) -> Rule:
+    return Rule("document_has_text", f"{chars} >= {least}", why="too short to be a report")
+
+
+def accepted_in_hours(at: str = "acceptance_time", filed: str = "filing_date", zone: str = "America/New_York", days: int = 7) -> Rule:
+    """Accepted in the office's hours, not after the filing's day and not more than ``days`` before it, there."""
+    there = f"from_utc_timestamp({at}, '{zone}')"
+    window = f"to_date({there}) BETWEEN date_sub({filed}, {days}) AND {filed}"
+    return Rule("timestamp_plausible", f"{window} AND hour({there}) BETWEEN {ACCEPTED_HOURS[0]} AND {ACCEPTED_HOURS[1]}", why="no filing is accepted then")
+
+
+def broken(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """rule, rows: how many rows fail each rule, judged on its own."""
+    counts = df.agg(*[F.count_if(~F.coalesce(F.expr(r.condition), F.lit(False))).alias(r.name) for r in rules])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("rows")) for r in rules])))
+
+
 #: Rules that every table can take; expressions name the columns that ``prepare`` makes.
 def standard_rules(spec_key: tuple[str, ...], low: str = "TIMESTAMP'2000-01-01'", high: str = "TIMESTAMP'2100-01-01'") -> tuple[Rule, ...]:
     return (

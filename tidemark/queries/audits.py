@@ -119,6 +119,28 @@ def withhold_equals_rebuild(spark, d):
     return out
 
 
+def coherence(spark, d):
+    """The verdict on worlds made by recomputing, on one that only hides, and on the one that withholds nothing."""
+    daily, full, touched, anew = _worlds(spark, d)
+    known = lineage.information_set(_items(spark, d), "2025-01-01")
+    recorded = lineage.set_hash(known).first()["set_hash"]
+    worlds = {"w1": (lineage.patch(full, touched, anew, "w1"), WITHHELD[:1]), "w3": (lineage.patch(full, touched, anew, "w3"), WITHHELD), "hidden": (lineage.hide(full, WITHHELD[:1]), WITHHELD[:1]), "null": (full, [])}
+    out = None
+    for name, (rows, ids) in worlds.items():
+        one = lineage.coherence(rows, lineage.rebuild(daily, ids), known, ids, recorded).select(F.lit(name).alias("world"), (F.col("differences") > 0).alias("differs"), "owned", "unaccounted", "keeps", "coherent")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def differences_within_tolerance(spark, d):
+    """Daily closes against the same with a hair's breadth, a real change, a row less and a row twice."""
+    base = fr.days(spark, d).select("symbol", "session_date", F.col("close").cast("double").alias("value"))
+    day = F.dayofmonth("session_date")
+    other = base.where(day != 3).withColumn("value", F.when(day == 5, F.col("value") * (1 + 1e-12)).when(day == 7, F.col("value") * 1.001).otherwise(F.col("value")))
+    found = leakage.differences_within(base, other.unionByName(other.where(day == 9)))
+    return found.select("symbol", "session_date", "problem")
+
+
 def hide_is_caught(spark, d):
     """Hiding rows without recomputing what depends on them differs from a rebuild."""
     daily = fr.days(spark, d)
@@ -135,7 +157,7 @@ def batched_worlds(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     audit_closed_bar, audit_after_source, audit_visibility, audit_counterfactual_zero, audit_counterfactual_caught, filings_reported, items_enumerate, information_set, world_rows, account_reads, unaccounted_rows,
-    withhold_equals_rebuild, hide_is_caught, batched_worlds,
+    withhold_equals_rebuild, coherence, differences_within_tolerance, hide_is_caught, batched_worlds,
 )}
 
 _ITEMS = f"""{fr.DAYS},
@@ -155,6 +177,9 @@ SELECT 'clean' AS world, count(*) AS cases FROM x WHERE knowable_at IS NULL OR k
     "audit_visibility": f"""WITH {fr.FACTS}, s AS (SELECT entity, source_ref, knowable_at AS t FROM facts),
 w AS (SELECT s.source_ref AS probe, f.source_ref, row_number() OVER (PARTITION BY s.source_ref, f.feature ORDER BY f.event_time DESC, f.knowable_at DESC, f.source_ref DESC) AS n FROM s JOIN facts f ON f.entity = s.entity AND f.knowable_at <= s.t)
 SELECT (SELECT count(*) FROM s) AS sources, CAST(0 AS BIGINT) AS early, count(*) FILTER (WHERE n = 1 AND probe = source_ref) AS on_time FROM w""",
+    "audit_counterfactual_caught": f"""WITH {fr.DAYS} SELECT unnest(['close', 'volatility_20d', 'volume_mean_20d', 'close', 'volatility_20d', 'volume_mean_20d']) AS feature, unnest(['left', 'left', 'left', 'right', 'right', 'right']) AS side, n AS cases FROM (SELECT count(DISTINCT symbol) AS n FROM days)""",
+    "coherence": """SELECT * FROM (VALUES ('w1', false, 0::BIGINT, 0::BIGINT, true, true), ('w3', false, 0, 0, true, true), ('hidden', true, 0, 0, true, false), ('null', false, 0, 0, true, true)) v(world, differs, owned, unaccounted, keeps, coherent)""",
+    "differences_within_tolerance": f"""WITH {fr.DAYS} SELECT symbol, session_date, CASE day(session_date) WHEN 3 THEN 'only left' WHEN 7 THEN 'value' ELSE 'only right' END AS problem FROM days WHERE day(session_date) IN (3, 7, 9)""",
     "audit_counterfactual_zero": "SELECT CAST(0 AS BIGINT) AS cases",
     "filings_reported": """WITH f AS (SELECT o_custkey AS symbol, CAST(year(o_orderdate) AS INTEGER) AS accession, max(o_orderstatus) AS form, CAST(max(o_orderdate) AS DATE) AS filed,
   CAST(coalesce(max(o_orderdate) FILTER (WHERE o_orderkey % 3 <> 0), max(o_orderdate)) AS DATE) AS period_end, max(o_orderdate) FILTER (WHERE o_orderkey % 2 = 0) AS acceptance FROM orders GROUP BY 1, 2)

@@ -69,6 +69,19 @@ def rules_quarantine(spark, d):
     return q.select("rule", F.get_json_object("record", "$.raw_id").alias("raw_id"), F.get_json_object("record", "$.raw_price").alias("raw_price"), "_source_file", *fr.micros("event_time"))
 
 
+def rules_domain(spark, d):
+    """Bars, releases, facts, documents and filings made of orders, some of them broken by their keys."""
+    o = fr.table(spark, d, "orders")
+    k, price = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(18,2)")
+    day = F.to_date("o_orderdate")
+    rows = o.select(
+        price.alias("open"), (price + 1).alias("close"), F.when(k % 17 == 0, price + 2).otherwise(price).alias("low"), F.when(k % 19 == 0, price).otherwise(price + 1).alias("high"), (k % 5).alias("quantity"),
+        F.when(k % 7 == 0, None).when(k % 11 == 0, ".").otherwise(price.cast("string")).alias("value"), F.when(k % 3 > 0, F.date_add(day, (k % 9 - 1).cast("int"))).alias("period_start"), F.date_add(day, 5).alias("period_end"),
+        (k % 20_000).alias("html_chars"), (F.col("o_orderdate") + F.make_interval(hours=(k % 48).cast("int"))).alias("acceptance_time"), F.date_add(day, 1).alias("filing_date"),
+    )
+    return rules.broken(rows, [rules.positive("open", "quantity"), rules.BAR_CONSISTENT, rules.reported(), rules.numeric(), rules.PERIOD_ORDERED, rules.document_has_text(), rules.accepted_in_hours(zone="UTC")])
+
+
 def dedup_scope_file(spark, d):
     return rules.failures(judged(spark, d, ["_source_file"]), ["_source_file"]).where(F.col("rule") == rules.DUPLICATE).select("_source_file", "rows")
 
@@ -191,6 +204,7 @@ def scalar_times(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
+    rules_domain,
     rules_first_failure_counts, rules_accepted, rules_quarantine, dedup_scope_file, dedup_scope_key, load_log_by_rule, halt_violations, halt_drill, sequence_gaps, sequence_gaps_edges, gap_totals, turn_gaps,
     gate_thresholds, rejection_rates, comparisons_due, semi_chosen_files, anti_pending, lookup_left, registry_flag, symmetric_difference, set_subtract_both, scalar_times,
 )}
@@ -229,6 +243,10 @@ ORACLE = {
     "rules_first_failure_counts": f"WITH {_judged()} SELECT coalesce(rule, 'accepted') AS rule, count(*) AS rows FROM judged GROUP BY 1",
     "rules_accepted": f"WITH {_judged()} SELECT symbol_key, file AS _source_file, count(*) AS rows, CAST(sum(price) AS DOUBLE) AS price, max(known_us) AS known_us FROM judged WHERE rule IS NULL GROUP BY ALL",
     "rules_quarantine": f"WITH {_judged()} SELECT rule, raw_id, raw_price, file AS _source_file, epoch_us(event_time) AS event_time_us FROM judged WHERE rule IS NOT NULL AND rule NOT IN ('knowable_at_not_before_event')",
+    "rules_domain": """WITH x AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS p, CAST(o_orderdate AS DATE) AS day, o_orderdate + to_hours(o_orderkey % 48) AS t FROM orders)
+SELECT unnest(['price_and_quantity_positive', 'ohlc_consistent', 'value_reported', 'value_numeric', 'period_ordered', 'document_has_text', 'timestamp_plausible']) AS rule,
+  unnest([count(*) FILTER (WHERE NOT (p > 0 AND k % 5 > 0)), count(*) FILTER (WHERE k % 17 = 0 OR k % 19 = 0), count(*) FILTER (WHERE k % 7 = 0), count(*) FILTER (WHERE k % 7 = 0 OR k % 11 = 0),
+    count(*) FILTER (WHERE k % 3 > 0 AND k % 9 - 1 > 5), count(*) FILTER (WHERE k % 20000 < 10000), count(*) FILTER (WHERE NOT (CAST(t AS DATE) BETWEEN day - 6 AND day + 1 AND hour(t) BETWEEN 6 AND 22))]) AS rows FROM x""",
     "dedup_scope_file": f"WITH {_judged('file,')} SELECT file AS _source_file, count(*) AS rows FROM judged WHERE rule = 'duplicate_key' GROUP BY 1",
     "dedup_scope_key": """WITH x AS (SELECT *, CASE WHEN l_quantity > 45 THEN 'too_many' END AS r FROM lineitem),
 y AS (SELECT *, CASE WHEN r IS NULL AND row_number() OVER (PARTITION BY l_orderkey, l_linenumber, r IS NULL ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) > 1 THEN 'duplicate_key' ELSE r END AS rule FROM x)
