@@ -1,6 +1,6 @@
 """Exact top-k search: tiled matrix products of queries and shards, partial selection per tile, tree merge per query.
 
-Vectors are packed into tiles of raw values.  Queries and candidates form a grid of cells: ``columns`` groups of candidate
+Vectors are packed into tiles of integers.  Queries and candidates form a grid of cells: ``columns`` groups of candidate
 tiles by ``rows`` groups of query tiles, each group of bounded bytes.  A cell multiplies its query tiles with its candidate
 tiles one pair at a time, selects each query's best of the tile in linear time, and keeps a running list.  The cells'
 lists meet in a tree of fan-in ``FAN``.  Only queries (a stated set) are copied to each column, candidates to each row of
@@ -11,7 +11,7 @@ without rounding; beyond, in Python's integers, and a score beyond 64 bits count
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part; only vectors of one length meet;
 ties go to the smaller id; a candidate with the query's id is the query itself; candidates that repeat an id all count; of
-queries that repeat an id the smallest vector stands; fewer than k candidates give fewer rows; empty tables give none.
+queries that repeat an id the smallest vector stands (ranks are those of ids, not of query rows); fewer than k candidates give fewer rows; empty tables give none.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 TILE = 2048
 FAN = 16
 CELL_BYTES = 32 << 20
-_TILE_SCHEMA = "side int, dim int, serial long, ids binary, cells binary"
+_TILE_SCHEMA = "side int, dim int, serial long, ids binary, wide boolean, cells binary"
 _FOUND_SCHEMA = "query_id long, cell long, vec_id long, score long"
 
 
@@ -36,11 +36,14 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (side, id, vector) into tiles of vectors of one side and length."""
+def _pack(batches: Iterable[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
+    """Rows (side, id, vector) into tiles of integer vectors of one side and length, 32 bits a component where all fit.
+
+    A task's tiles have running numbers, the first one's being the task's: they are dealt in turn.
+    """
     from pyspark import TaskContext
 
-    serial = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
+    serial = TaskContext.get().partitionId() if TaskContext.get() else 0
     held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
 
     def tile(key: tuple[int, int]) -> pa.RecordBatch:
@@ -48,16 +51,18 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = held.pop(key)
         ids, cells = (np.concatenate(x) for x in zip(*parts, strict=True))
         serial += 1
-        return pa.RecordBatch.from_pylist([{"side": key[0], "dim": key[1], "serial": serial, "ids": ids.tobytes(), "cells": cells.astype("<f8").tobytes()}], schema=schema)
+        wide = bool(np.abs(cells).max(initial=0) >= 2**31 - 1)
+        told = {"side": key[0], "dim": key[1], "serial": serial, "ids": ids.tobytes(), "wide": wide, "cells": cells.astype("<f8" if wide else "<i4").tobytes()}
+        return pa.RecordBatch.from_pylist([told], schema=schema)
 
-    schema = pa.schema([("side", pa.int32()), ("dim", pa.int32()), ("serial", pa.int64()), ("ids", pa.binary()), ("cells", pa.binary())])
+    schema = pa.schema([("side", pa.int32()), ("dim", pa.int32()), ("serial", pa.int64()), ("ids", pa.binary()), ("wide", pa.bool_()), ("cells", pa.binary())])
     for batch in batches:
         side, ids, vectors = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype("<i8"), batch.column(2)
         offsets, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy()
         size = np.diff(offsets)
         for s, d in {*zip(side.tolist(), size.tolist(), strict=True)}:
             hit = np.flatnonzero((side == s) & (size == d))
-            cells = flat[offsets[hit][:, None] + np.arange(d)].reshape(len(hit), d)
+            cells = np.floor(scale * flat[offsets[hit][:, None] + np.arange(d)].reshape(len(hit), d).astype(float))
             for at in range(0, len(hit), TILE):
                 held.setdefault((s, d), []).append((ids[hit[at : at + TILE]], cells[at : at + TILE]))
                 if sum(len(x[0]) for x in held[s, d]) >= TILE:
@@ -93,21 +98,21 @@ def _big_best(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, v_ids: np.ndarray
     return out
 
 
-def _cell(table: pa.Table, k: int, scale: float) -> pa.Table:
+def _cell(table: pa.Table, k: int) -> pa.Table:
     dim, cell = table.column("dim")[0].as_py(), table.column("column")[0].as_py()
     tiles: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {0: [], 1: []}
-    for side, ids, cells in zip(table.column("side").to_pylist(), table.column("ids").to_pylist(), table.column("cells").to_pylist(), strict=True):
+    for side, ids, wide, cells in zip(*(table.column(c).to_pylist() for c in ("side", "ids", "wide", "cells")), strict=True):
         ids = np.frombuffer(ids, "<i8")
-        cells = np.frombuffer(cells, "<f8").reshape(len(ids), dim)
+        cells = np.frombuffer(cells, "<f8" if wide else "<i4").reshape(len(ids), dim)
         tiles[side].append((ids, cells))
     out: list[pa.Table] = []
     for q_ids, q in tiles[0]:
-        q = np.floor(scale * q)
+        q = q.astype(float)
         top, top_ids, far = np.full((len(q), 0), -np.inf), np.zeros((len(q), 0), np.int64), [[] for _ in q]
         big = False
         for v_ids, v in tiles[1]:
             order = np.argsort(v_ids, kind="stable")
-            v_ids, v = v_ids[order], np.floor(scale * v[order])
+            v_ids, v = v_ids[order], v[order].astype(float)
             if big or np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * max(1, dim) >= 2**53:
                 big = True
                 far = [heapq.nsmallest(k, x + y) for x, y in zip(far, _big_best(q, q_ids, v, v_ids, k), strict=True)]
@@ -138,12 +143,13 @@ def search(candidates: DataFrame, queries: DataFrame, k: int = 10, scale: float
     there, wanted = count(data), count(asked)
     columns = max(1, -(-8 * there.cells // CELL_BYTES), min(4 * spark.sparkContext.defaultParallelism, -(-there.n // TILE)))
     rows = max(1, -(-8 * wanted.cells // CELL_BYTES))
-    tiles = data.mapInArrow(_pack, _TILE_SCHEMA).unionByName(asked.mapInArrow(_pack, _TILE_SCHEMA))
-    spread = F.pmod(F.hash("serial"), F.when(F.col("side") == 1, columns).otherwise(rows)).cast("long")
+    packed = lambda df: df.mapInArrow(lambda batches: _pack(batches, scale), _TILE_SCHEMA)
+    tiles = packed(data).unionByName(packed(asked))
+    spread = F.pmod(F.col("serial"), F.when(F.col("side") == 1, columns).otherwise(rows)).cast("long")
     others = F.sequence(F.lit(0), F.when(F.col("side") == 1, rows - 1).otherwise(columns - 1)).cast("array<long>")
     tiles = tiles.withColumn("own", spread).withColumn("other", F.explode(others))
     tiles = tiles.withColumn("row", F.when(F.col("side") == 1, F.col("other")).otherwise(F.col("own"))).withColumn("column", F.when(F.col("side") == 1, F.col("own")).otherwise(F.col("other")))
-    found = tiles.drop("own", "other", "serial").groupBy("dim", "row", "column").applyInArrow(lambda t: _cell(t, k, scale), _FOUND_SCHEMA)
+    found = tiles.drop("own", "other", "serial").groupBy("dim", "row", "column").applyInArrow(lambda t: _cell(t, k), _FOUND_SCHEMA)
     best = F.col("score").desc(), F.col("vec_id")
     while columns > FAN:
         found = found.withColumn("cell", F.floor(F.col("cell") / FAN))
