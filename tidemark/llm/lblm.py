@@ -358,7 +358,8 @@ def fit(docs: DataFrame, held_out_of: int = 10, top: int = TOP, units: int = UNI
     names, counts = listed.column("word").to_pylist(), listed.column("n").to_numpy().astype(float)
     # the end is a class of its own; it may stand anywhere but among the words with units
     own = [i for i, w in enumerate(names[: units + 1]) if w][:units]
-    rest = [i for i in range(len(names)) if i >= len(own) + 1 or i not in set(own)]
+    chosen = set(own)
+    rest = [i for i in range(len(names)) if i not in chosen]
     names, counts = [names[i] for i in own + rest], counts[own + rest]
     units = len(own)
 
