@@ -146,3 +146,14 @@ def test_differences_within_a_tolerance(spark):
     assert leakage.differences_within(a, rows(("a", 2.0 + 1e-12), ("a", 1.0), ("b", None), ("c", 5.0), (None, 1.0))).count() == 0
     got = leakage.differences_within(a, rows(("a", 1.0), ("b", 0.0), ("c", 5.1), (None, 1.0), ("d", 1.0))).collect()
     assert sorted((r["k"], r["problem"]) for r in got) == [("a", "only left"), ("b", "value"), ("c", "value"), ("d", "only right")]
+
+
+def test_fixed_thresholds(spark):
+    day = date(2024, 1, 1)
+    measured = spark.createDataFrame(
+        [("rejection_rate", "t.bad", day, 1000, 12), ("rejection_rate", "u.bad", day, 1000, 13), ("rejection_rate", "edgar_filings.duplicate_key", day, 10, 10), ("venue_divergence", "x", day, 1440, 4), ("venue_divergence", "y", day, 1440, 5), ("venue_missing", "x", day, 1440, 15), ("other", "x", day, 9, 1)],
+        "check string, subject string, day date, measured long, failed long",
+    )
+    told = {(r["check"], r["subject"]): r["passed"] for r in gate.judge(measured, gate.thresholds(spark)).collect()}
+    assert [k for k, ok in told.items() if not ok] and {k for k, ok in told.items() if ok} == {("rejection_rate", "t.bad"), ("rejection_rate", "edgar_filings.duplicate_key"), ("venue_divergence", "x")}
+    assert gate.judge(measured, gate.thresholds(spark, [("venue_missing", "*", 0.5, 0.0)])).where("check = 'venue_missing'").first()["passed"]

@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.sizes import small
 
 ANY = "*"
 
+# Check, subject, rate, tolerance.
+THRESHOLDS = (
+    ("rejection_rate", ANY, 0.01, 2.0),
+    ("rejection_rate", "edgar_company_facts.duplicate_key", 1.0, 0.0),
+    ("rejection_rate", "edgar_filings.duplicate_key", 1.0, 0.0),
+    ("venue_divergence", ANY, 0.001, 3.0),
+    ("venue_missing", ANY, 0.01, 0.0),
+)
+
+
+def thresholds(spark: SparkSession, own: Sequence[tuple[str, str, float, float]] = ()) -> DataFrame:
+    """check, subject, rate, tolerance: the fixed ones, each replaced by one of ``own`` for the same check and subject."""
+    rows = {t[:2]: t for t in (*THRESHOLDS, *own)}
+    return spark.createDataFrame(list(rows.values()), "check string, subject string, rate double, tolerance double")
+
 
 def judge(measured: DataFrame, thresholds: DataFrame, waivers: DataFrame | None = None) -> DataFrame:
     """``measured`` (check, subject, day, measured, failed) with allowed, passed, waived and outcome.
