@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from typing import TypeVar
 
 import numpy as np
@@ -59,7 +61,7 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def _small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
     """While a table is written, Python workers get at most ``rows`` rows at a time; the session's own setting comes back after."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     held = spark.conf.get(key)
@@ -79,7 +81,7 @@ def durable(df: DataFrame, name: str = "t") -> DataFrame:
     The folder goes when the driver ends, or earlier: see ``forget`` and ``tidy``.
     """
     path = _new_path(df.sparkSession, name)
-    with _small_batches(df.sparkSession):
+    with small_batches(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -214,10 +216,19 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
 _WORKER: dict[str, object] = {}
 
 
+def _let_go() -> None:
+    """Gives memory that is free back to the system: a Python worker lives on for tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # where the C library can't
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def worker_cache(key: str, make: Callable[[], T]) -> T:
     """What a Python worker keeps from task to task: one operator's memory at a time, another's is let go."""
     if key not in _WORKER:
         _WORKER.clear()
+        gc.collect()
+        _let_go()
         _WORKER[key] = make()
     return _WORKER[key]
 
@@ -239,3 +250,4 @@ def slices(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
             stop = min(max(stop, at + 1), at + BATCH_ROWS, batch.num_rows)
             yield batch.slice(at, stop - at)
             at = stop
+    _let_go()
