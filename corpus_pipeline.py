@@ -18,28 +18,38 @@ from tidemark.llm.common import read, tidy
 from tidemark.llm.queries import tokenizer_path
 
 
+def _frugal(spark: SparkSession) -> None:
+    """The pipeline's session hands Python workers few rows at a time: its stages share executors with what earlier ones left."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels of the documents at hand, does not reject."""
+    _frugal(spark)
     return quality.select(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    _frugal(spark)
     return exactdedup.without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    _frugal(spark)
     return probminhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask."""
+    _frugal(spark)
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens; ``row`` tells apart the copies of a document."""
+    _frugal(spark)
     pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "row", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
