@@ -35,6 +35,22 @@ def test_query_equals_its_sql(spark, duck, sf, name):
     compare(spark, duck, sf, QUERIES[name], ORACLE[name])
 
 
+@pytest.mark.parametrize("parts", [2, 3, 5, 8])
+def test_facts_are_whole_however_they_are_dealt(spark, tmp_path, parts):
+    c = duckdb.connect()
+    c.execute("CREATE TABLE orders AS SELECT i * 2500 AS o_orderkey, ['F', 'O', 'P'][i % 3 + 1] AS o_orderstatus, i % 5 || '-X' AS o_orderpriority, i / 8 AS o_totalprice FROM range(100) t(i)")
+    c.execute(f"COPY orders TO '{tmp_path}/orders.parquet'")
+    conf = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        compare(spark, c, str(tmp_path), QUERIES["read_facts"], ORACLE["read_facts"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0

@@ -52,6 +52,18 @@ def test_facts(spark, tmp_path):
     assert rows(readers.read_raw(spark, d, put(tmp_path / "y.json", "no"))) == [(None, None, None, None, None, "no")]
 
 
+def test_facts_of_several_documents_in_a_file(spark, tmp_path):
+    d = readers.Dataset("s", "d", ("taxonomy", "concept", "unit", "val", "accn"), "facts")
+    one, two = ({"facts": {t: {"S": {"units": {"USD": [{"val": "}\n{ } x", "accn": t}]}}}}} for t in "ab")
+    told = [(t, "S", "USD", "}\n{ } x", t, None) for t in "ab"]
+    a, b = json.dumps(one), json.dumps(two)
+    assert rows(readers.read_raw(spark, d, put(tmp_path / "lines.json", f"{a}\n{b}\n"))) == told
+    assert rows(readers.read_raw(spark, d, put(tmp_path / "indented.json", f"{json.dumps(one, indent=1)}\n\n{json.dumps(two, indent=1)}"))) == told
+    assert rows(readers.read_raw(spark, d, put(tmp_path / "rest.json", f"{a}\nrest"))) == sorted([told[0], (None,) * 5 + ("rest",)], key=str)
+    for i, text in enumerate((f"{a} rest", f"{a}{b}", f"{a}, {b}", f"{a}]rest", f"{a}}}", f'{a},{{"facts end":""}}] rest')):
+        assert rows(readers.read_raw(spark, d, put(tmp_path / f"{i}.json", text))) == [(None,) * 5 + (text,)]
+
+
 def test_documents(spark, tmp_path):
     d = readers.Dataset("s", "d", ("html",), "document")
     assert rows(readers.read_raw(spark, d, put(tmp_path / "x.html", "<p>\nx</p>"))) == [("<p>\nx</p>", None)]

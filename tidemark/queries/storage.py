@@ -18,10 +18,10 @@ def _folder(spark, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def _lines(spark, rows, name: str) -> str:
-    """One column of text as files."""
+def _lines(spark, rows, name: str, *by: str) -> str:
+    """One column of text as files, apart by the columns named."""
     path = _folder(spark, name)
-    rows.write.text(path)
+    rows.write.partitionBy(*by).text(path)
     return path
 
 
@@ -58,12 +58,13 @@ def read_json_columns(spark, d):
 
 
 def read_facts(spark, d):
-    """Nested maps of taxonomy, concept and unit; one file for each status."""
-    o = fr.table(spark, d, "orders").where("o_orderstatus <> 'P'")
+    """Nested maps of taxonomy, concept and unit; one file for each status and every 100,000 keys, so that no file grows with the table."""
+    o = fr.table(spark, d, "orders").where("o_orderstatus <> 'P'").withColumn("part", F.expr("o_orderkey div 100000"))
     fact = F.struct(F.col("o_orderkey").cast("string").alias("accn"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("val"))
-    units = o.groupBy("o_orderstatus", "o_orderpriority").agg(F.array_sort(F.collect_list(fact)).alias("facts"))
-    concepts = units.groupBy("o_orderstatus").agg(F.map_from_entries(F.collect_list(F.struct("o_orderpriority", F.struct(F.create_map(F.lit("USD"), "facts").alias("units"))))).alias("c"))
-    path = _lines(spark, concepts.select(F.to_json(F.struct(F.create_map("o_orderstatus", "c").alias("facts"))).alias("value")).repartition(4), "facts")
+    units = o.groupBy("o_orderstatus", "part", "o_orderpriority").agg(F.array_sort(F.collect_list(fact)).alias("facts"))
+    concepts = units.groupBy("o_orderstatus", "part").agg(F.map_from_entries(F.collect_list(F.struct("o_orderpriority", F.struct(F.create_map(F.lit("USD"), "facts").alias("units"))))).alias("c"))
+    told = F.to_json(F.struct(F.create_map("o_orderstatus", "c").alias("facts")))
+    path = _lines(spark, concepts.select("o_orderstatus", "part", told.alias("value")), "facts", "o_orderstatus", "part")
     return readers.read_raw(spark, readers.Dataset("s", "facts", ("taxonomy", "concept", "unit", "accn", "val"), "facts", "facts"), path)
 
 

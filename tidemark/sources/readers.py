@@ -1,7 +1,7 @@
 """Raw files to all-string rows: what doesn't parse is kept in ``_corrupt_record``, never dropped.
 
 Formats: csv; json_rows (lines of arrays of arrays); json_records (lines of objects with an array of objects under a key);
-json_columns (lines of objects with parallel arrays); facts (nested maps taxonomy, concept, unit, facts); document (whole file).
+json_columns (lines of objects with parallel arrays); facts (documents of nested maps taxonomy, concept, unit, facts); document (whole file).
 """
 
 from __future__ import annotations
@@ -86,13 +86,32 @@ def read_json_columns(spark: SparkSession, data: Dataset, path: str) -> DataFram
     return out.unionByName(_corrupt(parsed.where("not even"), data.columns, F.col("value")))
 
 
+def _json_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """value: each JSON document's text; document: its fields, null unless the text is one value to its end.
+
+    from_json stops at the end of the first value.  Inside a value no line break stands between a brace that closes and anything
+    but a comma or another closing mark, so files are cut there.  What else follows a value on its line shows as the text is read
+    as an array: the mark behind it, which no text can hold of itself, must come second and last.
+    """
+    value = F.explode(F.split("value", r"(?<=\})[^\S\r\n]*+[\r\n]\s*+(?=[^\s,}\]])")).alias("value")
+    texts = spark.read.text(path, wholetext=True).select(value)
+    end = f"{schema.fieldNames()[0]} end"
+    sha = F.sha2("value", 256)
+    read = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit(f',{{"{end}":"'), sha, F.lit('"}]')), ArrayType(StructType([*schema.fields, StructField(end, StringType())])))
+    whole = (F.size("read") == 2) & (F.get("read", F.lit(1))[end] == sha)
+    return texts.withColumn("read", read).select("value", F.when(whole, F.get("read", F.lit(0))).alias("document"))
+
+
 def read_facts(spark: SparkSession, data: Dataset, path: str) -> DataFrame:
-    """taxonomy, concept, unit, then the fact's own columns: {path: {taxonomy: {concept: {units: {unit: [fact]}}}}}."""
+    """taxonomy, concept, unit, then the fact's own columns: {path: {taxonomy: {concept: {units: {unit: [fact]}}}}}.
+
+    A file holds one document or several, each from a line of its own on; one that has more than its value is corrupt.
+    """
     own = tuple(c for c in data.columns if c not in ("taxonomy", "concept", "unit"))
     concept = StructType([StructField("units", MapType(StringType(), ArrayType(_strings(own))))])
     schema = _nested(data.path or "facts", MapType(StringType(), MapType(StringType(), concept)))
     key = (data.path or "facts").split(".")[0]
-    parsed = spark.read.text(path, wholetext=True).withColumn("f", F.from_json("value", schema)[key])
+    parsed = _json_documents(spark, path, schema).withColumn("f", F.col("document")[key])
     by = parsed.where("f is not null").select(F.explode("f").alias("taxonomy", "c")).select("taxonomy", F.explode("c").alias("concept", "u")).select("taxonomy", "concept", F.explode("u.units").alias("unit", "fs")).select("taxonomy", "concept", "unit", F.explode("fs").alias("r"))
     out = by.select(*[F.col(n) if n in ("taxonomy", "concept", "unit") else F.col("r")[n].alias(n) for n in data.columns], F.when(F.col("r").isNull(), "null").alias(CORRUPT))
     return out.unionByName(_corrupt(parsed.where("f is null"), data.columns, F.col("value")))
